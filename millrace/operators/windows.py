@@ -34,12 +34,11 @@ def merge_edges(*edge_frames: DataFrame) -> DataFrame:
     """Edges of all sources, each once, at its first position.
 
     Sources count in the order given: all edges of the first come before those
-    of the second. ``source`` and ``ord`` say where an edge was first seen;
-    ``position`` is its place among the edges of its consumer.
+    of the second. ``source`` and ``ord`` say where an edge was first seen, and
+    sorting by them gives the dependency list of a consumer.
     """
     tagged = [edges.select("consumer", "dep", F.lit(i).alias("source"), F.col("ord").cast("bigint"))
               for i, edges in enumerate(edge_frames)]
-    first = (reduce(DataFrame.unionByName, tagged).groupBy("consumer", "dep")
-             .agg(F.min(F.struct("source", "ord")).alias("first"))
-             .select("consumer", "dep", "first.source", "first.ord"))
-    return first
+    return (reduce(DataFrame.unionByName, tagged).groupBy("consumer", "dep")
+            .agg(F.min(F.struct("source", "ord")).alias("first"))
+            .select("consumer", "dep", "first.source", "first.ord"))
