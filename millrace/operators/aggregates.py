@@ -19,17 +19,19 @@ from millrace.operators.transforms import TOP_TIER, with_spread
 MIN_SPREAD_PCT, MIN_MARKET_VOLUME = 0.5, 50000
 MAX_SPREAD_MEAN, MIN_DEPTH_MEAN = 0.03, 20000
 
-_ROWS = F.lit(1)
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def totals(df: DataFrame, value: str = "value") -> DataFrame:
     """Sum, row count and average; the average of no rows is null."""
-    return df.agg(F.sum(value).alias("total_value"), F.count(_ROWS).alias("record_count"),
-                  F.try_divide(F.sum(value), F.count(_ROWS)).alias("average_value"))
+    return df.agg(F.sum(value).alias("total_value"), _rows().alias("record_count"),
+                  F.try_divide(F.sum(value), _rows()).alias("average_value"))
 
 
 def category_counts(df: DataFrame, category: str = "value_category") -> DataFrame:
-    return df.groupBy(category).agg(F.count(_ROWS).alias("records"))
+    return df.groupBy(category).agg(_rows().alias("records"))
 
 
 def stats(df: DataFrame, value: str = "value") -> DataFrame:
@@ -53,14 +55,14 @@ def union_stats(a: DataFrame, b: DataFrame, value: str = "value") -> DataFrame:
     side = F.col("side")
     return both.agg(F.count_if(side == "a").alias("count_a"),
                     F.count_if(side == "b").alias("count_b"),
-                    F.count(_ROWS).alias("total_count"), F.sum(value).alias("sum"),
-                    F.try_divide(F.sum(value), F.count(_ROWS)).alias("average"))
+                    _rows().alias("total_count"), F.sum(value).alias("sum"),
+                    F.try_divide(F.sum(value), _rows()).alias("average"))
 
 
 def market_stats(book: DataFrame, *keys: Column | str) -> DataFrame:
     """Snapshots, average spread and volume per market (or the given keys)."""
     return with_spread(book).groupBy(*(keys or ("market_id",))).agg(
-        F.count(_ROWS).alias("snapshot_count"),
+        _rows().alias("snapshot_count"),
         F.avg("spread_pct").alias("avg_spread_pct"),
         F.sum("total_volume").alias("total_market_volume"))
 
@@ -108,7 +110,7 @@ def market_corr(df: DataFrame, pairs: DataFrame, snapshot: str = "snapshot") ->
     return (pairs.select("market_a", "market_b").join(left, "market_a")
             .join(right, ["market_b", snapshot])
             .groupBy("market_a", "market_b")
-            .agg(F.count(_ROWS).alias("snapshots"),
+            .agg(_rows().alias("snapshots"),
                  F.corr("price_a", "price_b").alias("price_corr")))
 
 
@@ -121,7 +123,7 @@ def sales_totals(sales: DataFrame, customer: str = "customer_id",
     false and a null customer.
     """
     per_customer = sales.groupBy(customer).agg(
-        F.sum(amount).alias("total"), F.count(_ROWS).alias("count"))
+        F.sum(amount).alias("total"), _rows().alias("count"))
     overall = per_customer.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total"),
                                F.coalesce(F.sum("count"), F.lit(0)).alias("count"))
     rows = (per_customer.withColumn("is_overall", F.lit(False))
@@ -133,17 +135,17 @@ def sales_totals(sales: DataFrame, customer: str = "customer_id",
 def sales_by_quarter(sales: DataFrame, customer: str = "customer_id", quarter: str = "quarter",
                      amount: str = "amount") -> DataFrame:
     return sales.groupBy(customer, quarter).agg(
-        F.sum(amount).alias("total"), F.count(_ROWS).alias("count"))
+        F.sum(amount).alias("total"), _rows().alias("count"))
 
 
 def customer_counts(customers: DataFrame, tier: str = "tier") -> DataFrame:
-    return customers.agg(F.count(_ROWS).alias("total_count"),
+    return customers.agg(_rows().alias("total_count"),
                          F.count_if(F.col(tier) == TOP_TIER).alias("enterprise_count"))
 
 
 def sales_metrics(sales: DataFrame, amount: str = "amount") -> DataFrame:
     """Overall revenue, deals and average deal, 0 when there are none."""
-    revenue, deals = F.coalesce(F.sum(amount), F.lit(0)), F.count(_ROWS)
+    revenue, deals = F.coalesce(F.sum(amount), F.lit(0)), _rows()
     return sales.agg(revenue.alias("total_revenue"), deals.alias("total_deals"),
                      ratio_or_zero(revenue, deals).alias("average_deal_size"))
 
@@ -162,7 +164,7 @@ def file_revenue(df: DataFrame, source: str = "source_file",
                  revenue: str = "revenue") -> DataFrame:
     """Records and revenue per input file; a missing revenue counts as 0."""
     return df.groupBy(source).agg(
-        F.count(_ROWS).alias("record_count"),
+        _rows().alias("record_count"),
         F.sum(F.coalesce(F.col(revenue), F.lit(0))).alias("total_revenue"))
 
 
@@ -175,10 +177,10 @@ def customer_metrics_mart(sales: DataFrame, customers: DataFrame, customer: str
     first, which also makes the distinct count a plain count.
     """
     per_day_customer = sales.groupBy(F.date_trunc("day", ts).alias("day"), customer).agg(
-        F.count(_ROWS).alias("orders"), F.sum(amount).alias("revenue"))
+        _rows().alias("orders"), F.sum(amount).alias("revenue"))
     known = per_day_customer.join(customers.select(customer), customer, "left_semi")
     return known.groupBy("day").agg(
-        F.sum("orders").alias("orders"), F.count(_ROWS).alias("customers"),
+        F.sum("orders").alias("orders"), _rows().alias("customers"),
         F.sum("revenue").alias("revenue"),
         F.try_divide(F.sum("revenue"), F.sum("orders")).alias("average_order"))
 
@@ -203,7 +205,7 @@ def customer_insights(customers: DataFrame, sales: DataFrame, as_of: Column,
         F.sum(F.when(earlier, F.col(amount))).alias("earlier_revenue"))
     joined = customers.select(key, tier).join(per_customer, key, "left")
     return joined.agg(
-        F.count(_ROWS).alias("total_customers"),
+        _rows().alias("total_customers"),
         F.count_if(F.col(tier) == TOP_TIER).alias("high_value_customers"),
         F.count_if(F.coalesce("recent_orders", F.lit(0)) == 0).alias("churn_risk"),
         (F.try_divide(F.sum("recent_revenue"), F.sum("earlier_revenue")) * 100 - 100)

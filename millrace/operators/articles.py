@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import html
+import html.entities
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Where the text is looked for, what is left out, what is kept.
 ROOTS = ("article", "main")
@@ -33,6 +35,7 @@ class _Blocks(HTMLParser):
     def __init__(self, root: str):
         super().__init__(convert_charrefs=False)
         self.root, self.found, self.finished = root, False, False
+        self.root_depth = 0
         self.stack: list[tuple[str, int | None]] = []
         self.open_names: dict[str, int] = {}
         self.pieces: list[str] = []
@@ -44,6 +47,7 @@ class _Blocks(HTMLParser):
         if not self.found and tag == self.root:
             self.found = True
             self._push(tag, None)
+            self.root_depth = len(self.stack)
             return
         inside = self.found and not self.finished
         block = None
@@ -96,11 +100,8 @@ class _Blocks(HTMLParser):
         return any(self.open_names.get(name) for name in names)
 
     def _push(self, tag, block):
-        # the root is marked by its place in the stack
         self.stack.append((tag, block))
         self.open_names[tag] = self.open_names.get(tag, 0) + 1
-        if self.found and not hasattr(self, "root_at"):
-            self.root_at = len(self.stack)
 
     def _close(self, tag):
         if not self.open_names.get(tag):
@@ -110,7 +111,7 @@ class _Blocks(HTMLParser):
             self.open_names[name] -= 1
             if block is not None:
                 self.blocks[block][2] = len(self.pieces)
-            if self.found and len(self.stack) < self.root_at:
+            if self.found and len(self.stack) < self.root_depth:
                 self.finished = True
             if name == tag:
                 return
@@ -141,7 +142,7 @@ def article_text(page: str | None) -> str:
     return ""
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _article_text(pages: pd.Series) -> pd.Series:
     return pages.map(article_text)
 
