@@ -28,6 +28,15 @@ def missing_keys(text: Column, fields: list[str]) -> Column:
     return F.array_except(wanted, present)
 
 
+def tail(text: Column, n: int) -> Column:
+    """The last ``n`` characters.
+
+    A character takes at most four bytes, so the count starts near the end
+    and does not run through a text of megabytes.
+    """
+    return F.right(F.substring(text.cast("binary"), -4 * n, 4 * n).cast("string"), F.lit(n))
+
+
 def clean_name(name: Column) -> Column:
     """Outer blanks dropped, inner runs of blanks made one, words capitalized."""
     return F.initcap(F.trim(F.regexp_replace(name, r"\s+", " ")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import human_duration, printed_round
+from millrace.functions.text import tail
 
 # How much of a run's output is kept, and decimals of a duration.
 OUTPUT_TAIL = 5000
@@ -80,7 +81,7 @@ def run_summary(runs: DataFrame, start: str = "start", end: str = "end",
     return runs.withColumns({
         "duration_seconds": printed_round(seconds, DURATION_DECIMALS),
         "execution_time": human_duration(seconds),
-        output: F.right(F.col(output), F.lit(OUTPUT_TAIL)),
+        output: tail(F.col(output), OUTPUT_TAIL),
     })
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,5 +29,10 @@ def merge_metadata(user: DataFrame, auto: DataFrame) -> DataFrame:
     both = (user.select("uri", "key", "value", "seq", F.lit(True).alias("by_user"))
             .unionByName(auto.select("uri", "key", "value", "seq",
                                      F.lit(False).alias("by_user"))))
+    by_user = F.col("by_user")
+
+    def last(mine: Column) -> Column:
+        # rows without an ordering value are left out of max_by
+        return F.max_by("value", F.when(mine, F.col("seq")))
     return both.groupBy("uri", "key").agg(
-        F.max_by("value", F.struct("by_user", "seq")).alias("value"))
+        F.when(F.bool_or(by_user), last(by_user)).otherwise(last(~by_user)).alias("value"))

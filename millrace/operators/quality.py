@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import broadcast_if_small, checkpoint
+
 # How a check that never ran is reported.
 NOT_EVALUATED = "not evaluated (prior assert failed)"
 SKIPPED = "not evaluated (flow skipped)"
@@ -179,20 +181,22 @@ def parse_check_logs(lines: DataFrame, specs: DataFrame, line: str = "line",
     default row per check, passed, with a note.
 
     Only check lines are kept, and each meets the (few) checks of its task as
-    one array, so log lines are never grouped.
+    one array, so log lines are never grouped. This runs when called, not lazily.
     """
     text = F.col(line)
     task = F.regexp_extract(text, TASK_IN_LINE, 1)
     lowered = F.lower(text)
-    found = (lines.filter(text.contains(CHECK_LINE))
-             .withColumn("source_task", F.when(task != "", task).otherwise(
-                 F.regexp_extract(text, BRACKET_IN_LINE, 1)))
-             .withColumn("passed", F.when(
-                 text.contains(" INFO ") & lowered.contains("passed"), F.lit(True))
-                 .when((text.contains(" ERROR ") | text.contains(" WARNING "))
-                       & lowered.contains("failed"), F.lit(False)))
-             .filter((F.col("source_task") != "") & F.col("passed").isNotNull())
-             .withColumn("_column", F.regexp_extract(text, COLUMN_IN_LINE, 1)))
+    passed = (text.contains(" INFO ") & lowered.contains("passed"))
+    failed = ((text.contains(" ERROR ") | text.contains(" WARNING ")) & lowered.contains("failed"))
+    # a generator evaluates the expressions once, where a projection would be merged
+    # into every filter and join that uses its columns
+    parsed = F.array(F.struct(
+        F.coalesce(F.nullif(task, F.lit("")),
+                   F.regexp_extract(text, BRACKET_IN_LINE, 1)).alias("source_task"),
+        passed.alias("passed"),
+        F.regexp_extract(text, COLUMN_IN_LINE, 1).alias("_column")))
+    found = (lines.filter(text.contains(CHECK_LINE) & (passed | failed))
+             .select(run, line, F.inline(parsed)).filter(F.col("source_task") != ""))
     per_task = specs.groupBy(run, "source_task").agg(F.sort_array(F.collect_list(F.struct(
         "ord", "check_type", "table", "column", "check_name"))).alias("_specs"))
 
@@ -204,7 +208,7 @@ def parse_check_logs(lines: DataFrame, specs: DataFrame, line: str = "line",
         return names_column(spec) | spec["check_type"].isin("sql_table", "sql_custom", "python")
 
     spec = F.col("_spec")
-    results = (found.join(per_task, [run, "source_task"])
+    results = (found.join(broadcast_if_small(per_task), [run, "source_task"])
                .withColumn("_spec", F.try_element_at(F.filter("_specs", fits), F.lit(1)))
                .filter(spec.isNotNull())
                .select(run, "source_task", spec["check_type"].alias("check_type"),
@@ -212,6 +216,8 @@ def parse_check_logs(lines: DataFrame, specs: DataFrame, line: str = "line",
                          for c in ("table", "column", "check_name")],
                        "passed", F.substring(text, 1, LINE_LENGTH).alias("log_line"),
                        F.lit(None).cast("string").alias("note")))
+    # results are few next to the lines; writing them once saves a second pass over all logs
+    results = checkpoint(results)
     silent = specs.join(results.select(run).distinct(), run, "left_anti")
     nothing = F.lit(None).cast("string")
     defaults = silent.select(

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,18 +42,25 @@ def score_batches(df: DataFrame, load: Callable[[], Callable[..., pd.Series]],
     return df.withColumn(output, predict(*[F.col(f) for f in features]))
 
 
-def train_churn(features: DataFrame, columns: list[str], label: str = "churned") -> PipelineModel:
-    """Logistic regression over scaled features; the trainer is ours to choose."""
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=columns, outputCol="_raw", handleInvalid="error"),
-        StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True),
-        LogisticRegression(featuresCol="_scaled", labelCol=label, maxIter=50,
+def train_churn(features: DataFrame, columns: list[str], path: str,
+                label: str = "churned") -> PipelineModel:
+    """Train the churn model and store it under ``path``; the stored model is returned.
+
+    Logistic regression scales the features itself; the trainer is our choice.
+    A model just trained still refers to its training data, the stored one does
+    not, and later batches are scored with it by ``PipelineModel.load(path)``.
+    """
+    model = Pipeline(stages=[
+        VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="error"),
+        LogisticRegression(featuresCol="_features", labelCol=label, maxIter=25,
                            probabilityCol="_probability", rawPredictionCol="_margin",
                            predictionCol="churn_predicted"),
     ]).fit(features.select(*columns, F.col(label).cast("double").alias(label)))
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def score_churn(model: PipelineModel, df: DataFrame) -> DataFrame:
     scored = model.transform(df)
     return (scored.withColumn("churn_probability", vector_to_array("_probability")[1])
-            .drop("_raw", "_scaled", "_margin", "_probability"))
+            .drop("_features", "_margin", "_probability"))

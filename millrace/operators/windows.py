@@ -39,6 +39,10 @@ def merge_edges(*edge_frames: DataFrame) -> DataFrame:
     """
     tagged = [edges.select("consumer", "dep", F.lit(i).alias("source"), F.col("ord").cast("bigint"))
               for i, edges in enumerate(edge_frames)]
-    return (reduce(DataFrame.unionByName, tagged).groupBy("consumer", "dep")
-            .agg(F.min(F.struct("source", "ord")).alias("first"))
-            .select("consumer", "dep", "first.source", "first.ord"))
+    both = reduce(DataFrame.unionByName, tagged)
+    # one plain minimum per source keeps this a hash aggregate, which a minimum of structs is not
+    minima = [F.min(F.when(F.col("source") == i, F.col("ord"))).alias(f"_m{i}")
+              for i in range(len(tagged))]
+    first = both.groupBy("consumer", "dep").agg(F.min("source").alias("source"), *minima)
+    return first.select("consumer", "dep", "source", F.coalesce(
+        *[F.when(F.col("source") == i, F.col(f"_m{i}")) for i in range(len(tagged))]).alias("ord"))

@@ -259,5 +259,6 @@ SELECT 'asset_' || user_id AS asset, count(*) AS runs,
        arg_max(value, row(ts, event_id)) AS latest_duration
 FROM events GROUP BY user_id""")
 def run_outcomes(t):
-    timed = materializations(t).join(t.events.select("event_id", "value"), "event_id")
+    timed = t.events.select(F.concat(F.lit("asset_"), "user_id").alias("asset"), "event_id", "ts",
+                            (F.col("event_type") != "error").alias("success"), "value")
     return rounded(freshness.run_outcomes(timed, duration="value"))

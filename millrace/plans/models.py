@@ -10,6 +10,7 @@ from millrace.operators.articles import extract_articles
 from millrace.plans.records import enriched
 from millrace.plans.registry import query, rounded
 from millrace.plans.tables import EVENT_TYPES, NOW
+from millrace.session import shared_dir
 
 
 @query("udf_extract_article")
@@ -82,7 +83,7 @@ def ml_churn(t):
         "user_id").distinct().withColumn("_active", F.lit(True))
     train = churn_features(t, cut).join(active, "user_id", "left").withColumn(
         "churned", F.col("_active").isNull())
-    model = scoring.train_churn(train, CHURN_FEATURES)
+    model = scoring.train_churn(train, CHURN_FEATURES, shared_dir(t.spark, "churn-model"))
     scored = scoring.score_churn(model, churn_features(t, NOW))
     return scored.select("user_id", F.round("churn_probability", 4).alias("churn_probability"),
                          "churn_predicted")

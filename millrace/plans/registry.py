@@ -39,8 +39,9 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     An average of cents often lies exactly half way between two rounded values,
     where the last bits decide. The small addend, also in the SQL, lifts it off.
     """
+    scale = float(10 ** digits)
     return df.select(*[
-        F.round(F.col(f.name) + F.lit(1e-7), digits).alias(f.name) if f.dataType.simpleString() == "double"
+        (F.rint((F.col(f.name) + F.lit(1e-7)) * scale) / scale).alias(f.name) if f.dataType.simpleString() == "double"
         else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
