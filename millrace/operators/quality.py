@@ -31,6 +31,8 @@ CHECK_KINDS = {
     "sql_check": "sql_custom",
     "python_check": "python",
 }
+# Kinds whose results name no column.
+TASK_KINDS = ("sql_table", "sql_custom", "python")
 
 # Formats of check results in a run log.
 CHECK_LINE = "CheckOperator"
@@ -180,8 +182,10 @@ def parse_check_logs(lines: DataFrame, specs: DataFrame, line: str = "line",
     the line names or which has no column. A run without any result gives one
     default row per check, passed, with a note.
 
-    Only check lines are kept, and each meets the (few) checks of its task as
-    one array, so log lines are never grouped. This runs when called, not lazily.
+    The checks are first reduced to the first one per task and column and the
+    first one per task without a column; a line joins both and takes the earlier.
+    Log lines are filtered and parsed where they are read and never grouped.
+    This runs when called, not lazily.
     """
     text = F.col(line)
     task = F.regexp_extract(text, TASK_IN_LINE, 1)
@@ -197,22 +201,22 @@ def parse_check_logs(lines: DataFrame, specs: DataFrame, line: str = "line",
         F.regexp_extract(text, COLUMN_IN_LINE, 1).alias("_column")))
     found = (lines.filter(text.contains(CHECK_LINE) & (passed | failed))
              .select(run, line, F.inline(parsed)).filter(F.col("source_task") != ""))
-    per_task = specs.groupBy(run, "source_task").agg(F.sort_array(F.collect_list(F.struct(
-        "ord", "check_type", "table", "column", "check_name"))).alias("_specs"))
-
-    def names_column(spec: Column) -> Column:
-        return F.coalesce((F.col("_column") != "") & (spec["column"] == F.col("_column")),
-                          F.lit(False))
-
-    def fits(spec: Column) -> Column:
-        return names_column(spec) | spec["check_type"].isin("sql_table", "sql_custom", "python")
-
-    spec = F.col("_spec")
-    results = (found.join(broadcast_if_small(per_task), [run, "source_task"])
-               .withColumn("_spec", F.try_element_at(F.filter("_specs", fits), F.lit(1)))
-               .filter(spec.isNotNull())
-               .select(run, "source_task", spec["check_type"].alias("check_type"),
-                       *[F.when(names_column(spec), spec[c]).alias(c)
+    spec = F.struct("ord", "check_type", "table", "column", "check_name")
+    task_key = [run, "source_task"]
+    by_column = (specs.filter(F.col("column").isNotNull())
+                 .groupBy(*task_key, F.col("column").alias("_column"))
+                 .agg(F.min_by(spec, "ord").alias("_named")))
+    by_task = (specs.filter(F.col("check_type").isin(*TASK_KINDS)).groupBy(*task_key)
+               .agg(F.min_by(spec, "ord").alias("_general")))
+    named = F.col("_named.ord").isNotNull() & (
+        F.col("_general.ord").isNull() | (F.col("_named.ord") <= F.col("_general.ord")))
+    results = (found.join(broadcast_if_small(by_column), [*task_key, "_column"], "left")
+               .join(broadcast_if_small(by_task), task_key, "left")
+               .filter(F.col("_named.ord").isNotNull() | F.col("_general.ord").isNotNull())
+               .select(*task_key,
+                       F.when(named, F.col("_named.check_type"))
+                       .otherwise(F.col("_general.check_type")).alias("check_type"),
+                       *[F.when(named, F.col(f"_named.{c}")).alias(c)
                          for c in ("table", "column", "check_name")],
                        "passed", F.substring(text, 1, LINE_LENGTH).alias("log_line"),
                        F.lit(None).cast("string").alias("note")))

@@ -29,7 +29,7 @@ def udf_map_task(t):
 
 RISK = """SELECT o_orderkey, l_linenumber, round(
   0.6::DOUBLE * least(l_extendedprice / o_totalprice, 1) + 3 * l_discount
-  + CASE WHEN c_acctbal < 0 THEN 0.1::DOUBLE ELSE 0 END, 4) AS score
+  + CASE WHEN c_acctbal < 0 THEN 0.1::DOUBLE ELSE 0 END + 1e-7, 4) AS score
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
 RISK_FEATURES = ["l_extendedprice", "o_totalprice", "l_discount", "c_acctbal"]
 

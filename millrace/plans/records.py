@@ -142,7 +142,7 @@ def proj_customer_clean(t):
 
 
 @query("proj_spread_pct", """
-SELECT snapshot_id, market_id, round((best_ask - best_bid) / best_bid * 100, 4) AS spread_pct
+SELECT snapshot_id, market_id, round((best_ask - best_bid) / best_bid * 100 + 1e-7, 4) AS spread_pct
 FROM v_book""", (V_BOOK,))
 def proj_spread_pct(t):
     return rounded(transforms.with_spread(book(t)).select("snapshot_id", "market_id",
@@ -386,8 +386,9 @@ def agg_stats_zero(t):
 
 
 @query("agg_stats_zero_empty", """
-SELECT CAST(0 AS BIGINT) AS count, CAST(0 AS DOUBLE) AS sum, CAST(0 AS DOUBLE) AS avg,
-       CAST(0 AS DOUBLE) AS min, CAST(0 AS DOUBLE) AS max""")
+SELECT count(value) AS count, coalesce(sum(value), 0) AS sum, coalesce(avg(value), 0) AS avg,
+       coalesce(min(value), 0) AS min, coalesce(max(value), 0) AS max
+FROM events WHERE value < 0""")
 def agg_stats_zero_empty(t):
     return agg.stats(t.events.filter("value < 0"))
 
@@ -447,7 +448,7 @@ PROFILE = """
          avg(spread) AS spread_mean, min(spread) AS spread_min, max(spread) AS spread_max,
          avg(liquidity_depth) AS liquidity_depth_mean
   FROM v_lines GROUP BY market_id)
-SELECT market_id, round(price_mean + 1e-7, 4) AS price_mean, round(price_std, 4) AS price_std,
+SELECT market_id, round(price_mean + 1e-7, 4) AS price_mean, round(price_std + 1e-7, 4) AS price_std,
        volume_sum, round(volume_mean + 1e-7, 4) AS volume_mean, round(spread_mean + 1e-7, 4) AS spread_mean,
        round(spread_min, 4) AS spread_min, round(spread_max, 4) AS spread_max,
        round(liquidity_depth_mean + 1e-7, 4) AS liquidity_depth_mean
@@ -471,7 +472,7 @@ def agg_anomalies(t):
   FROM v_book GROUP BY 1, 2),
 pairs AS (SELECT 'market_' || s_suppkey AS market_a, 'market_' || (s_suppkey + 1) AS market_b
           FROM supplier)
-SELECT market_a, market_b, count(*) AS snapshots, round(corr(a.price, b.price), 4) AS price_corr
+SELECT market_a, market_b, count(*) AS snapshots, round(corr(a.price, b.price) + 1e-7, 4) AS price_corr
 FROM pairs JOIN series a ON a.market_id = market_a
            JOIN series b ON b.market_id = market_b AND b.snapshot = a.snapshot
 GROUP BY market_a, market_b""", (V_BOOK,))
@@ -552,7 +553,7 @@ SELECT count(*) AS total_customers,
 FROM v_cust LEFT JOIN per_customer USING (customer_id)""", (V_SALES, V_CUST))
 def agg_customer_insights(t):
     return rounded(agg.customer_insights(customers(t), sales(t),
-                                         F.to_timestamp(F.lit("2001-08-01"))))
+                                         F.lit("2001-08-01").cast("timestamp_ntz")))
 
 
 @query("agg_map_sum", "SELECT round(sum(value * 2), 4) AS total FROM events")

@@ -141,7 +141,7 @@ def sink_partitioned(t):
     path = shared_dir(t.spark, "daily")
     days = t.events.select("event_id", "value",
                            F.date_format("ts", "yyyy-MM-dd").alias("date"))
-    writers.write_partition(days, path, "date")
+    writers.write_partition(days, path, "date", rebalance=True)
     writers.run_partition(days, "date", path, "2024-01-15",
                           transform=lambda rows: rows.withColumn("value", F.col("value") * 2))
     stored = t.spark.read.schema("event_id bigint, value double, date string").parquet(path)

@@ -17,7 +17,8 @@ def build_session(app_name: str = "millrace", master: str | None = None,
 
     The time zone is UTC so that calendar arithmetic does not depend on the
     machine. AQE picks shuffle sizes and splits skewed join partitions, so no
-    partition count is fixed here.
+    partition count is fixed here. Arrow batches are bounded in bytes because
+    pages and documents differ in size, and streaming state is kept off the heap.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -27,6 +28,9 @@ def build_session(app_name: str = "millrace", master: str | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **(conf or {}),
     }
     for key, value in settings.items():

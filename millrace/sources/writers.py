@@ -51,11 +51,16 @@ def copy_into(spark: SparkSession, path: str, table_path: str, schema: str,
      .write.mode("append").parquet(table_path))
 
 
-def write_partition(df: DataFrame, path: str, *columns: str) -> None:
+def write_partition(df: DataFrame, path: str, *columns: str, rebalance: bool = False) -> None:
     """Write partitioned Parquet, replacing only the partitions in ``df``.
 
-    The overwrite mode is set on this write alone, not on the session.
+    The overwrite mode is set on this write alone, not on the session. When rows
+    of many partitions are mixed, every task would write a file in each of them:
+    ``rebalance`` brings a partition's rows together first, and AQE splits a
+    large partition and merges small ones into files of the advisory size.
     """
+    if rebalance:
+        df = df.hint("rebalance", *columns)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*columns).parquet(path))
 

@@ -16,7 +16,8 @@ def spark():
     from millrace.session import build_session
     session = build_session("tests", "local[8]", {
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-        "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"})
+        "spark.driver.memory": "6g", "spark.sql.maxMetadataStringLength": "1000",
+        "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -32,6 +32,12 @@ def test_filters_and_columns_reach_the_scan(t, plan_of):
     assert "EqualTo(event_type,click)" in plan or "In(event_type" in plan
 
 
+def test_time_filters_reach_the_scan(spark, data, plan_of):
+    plan = plan_of(QUERIES["agg_customer_insights"](spark, data))
+    assert "GreaterThan(o_orderdate,2001-02-02" in plan and "LessThanOrEqual(o_orderdate,2001-08-01" in plan
+    assert "GreaterThanOrEqual(ts,2024-01-29" in plan_of(QUERIES["fresh_policy"](spark, data))
+
+
 def test_market_rules_read_what_they_need_and_combine_first(t, plan_of):
     plan = plan_of(agg.rule_violations(agg.market_stats(book(t))))
     schema = plan.split("ReadSchema: struct<")[1].split(">")[0]
@@ -80,6 +86,25 @@ def test_one_partition_is_all_that_is_read(spark, tmp_path, plan_of):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
+def test_a_large_partition_is_split_when_writing(spark, tmp_path):
+    """Two thirds of the rows are of one date: it gets several files, the others one each."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "40KB",
+                "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(0, 90000, 1, 8).select(
+            "id", F.when(F.col("id") % 3 > 0, "d0").otherwise(F.concat(F.lit("d"), F.col("id") % 4)).alias("date"))
+        writers.write_partition(df, str(tmp_path / "t"), "date", rebalance=True)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {d: len(list((tmp_path / "t" / f"date={d}").glob("*.parquet"))) for d in ("d0", "d1", "d2", "d3")}
+    assert files["d0"] > 1 and files["d1"] <= 2
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 90000
+
+
 def test_a_hot_customer_is_split_and_nothing_is_lost(spark, plan_of):
     """One customer has most orders; AQE splits that partition of the join."""
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
