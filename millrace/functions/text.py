@@ -29,12 +29,18 @@ def missing_keys(text: Column, fields: list[str]) -> Column:
 
 
 def tail(text: Column, n: int) -> Column:
-    """The last ``n`` characters.
+    """The last ``n`` characters, without running through a text of megabytes.
 
-    A character takes at most four bytes, so the count starts near the end
-    and does not run through a text of megabytes.
+    A character takes one to four bytes. When the last ``n`` bytes and three
+    more count as that many characters, the last ``n`` bytes are the answer: a
+    character cut in two can only be among the three. Otherwise the characters
+    of the last ``4 * n`` bytes are counted.
     """
-    return F.right(F.substring(text.cast("binary"), -4 * n, 4 * n).cast("string"), F.lit(n))
+    data = text.cast("binary")
+    near = F.substring(data, -(n + 3), n + 3)
+    single = F.length(near.cast("string")) == F.length(near)
+    return (F.when(single, F.substring(data, -n, n).cast("string"))
+            .otherwise(F.right(F.substring(data, -4 * n, 4 * n).cast("string"), F.lit(n))))
 
 
 def clean_name(name: Column) -> Column:

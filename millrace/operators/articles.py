@@ -38,6 +38,7 @@ class _Blocks(HTMLParser):
         self.root_depth = 0
         self.stack: list[tuple[str, int | None]] = []
         self.open_names: dict[str, int] = {}
+        self.dropping = self.hiding = 0
         self.pieces: list[str] = []
         self.blocks: list[list] = []
         self.node: list[str] = []
@@ -51,7 +52,7 @@ class _Blocks(HTMLParser):
             return
         inside = self.found and not self.finished
         block = None
-        if inside and tag in BLOCKS and not self._within(DROPPED):
+        if inside and tag in BLOCKS and not self.dropping:
             block = len(self.blocks)
             self.blocks.append([tag, len(self.pieces), None])
         self._push(tag, block)
@@ -69,7 +70,7 @@ class _Blocks(HTMLParser):
             self._close(tag)
 
     def handle_data(self, data):
-        if self.found and not self.finished and not self._within(DROPPED | HIDDEN_TEXT):
+        if self.found and not self.finished and not self.dropping and not self.hiding:
             self.node.append(data)
 
     def handle_entityref(self, name):
@@ -91,24 +92,26 @@ class _Blocks(HTMLParser):
         """Finish a text node; one of blanks only becomes a line break or a blank."""
         text = "".join(self.node)
         self.node.clear()
-        if text and not text.strip(" \n\t\f\r") and not self._within({"textarea"}):
+        if text and not text.strip(" \n\t\f\r") and not self.open_names.get("textarea"):
             text = "\n" if "\n" in text else " "
         if text:
             self.pieces.append(text)
 
-    def _within(self, names) -> bool:
-        return any(self.open_names.get(name) for name in names)
-
     def _push(self, tag, block):
         self.stack.append((tag, block))
-        self.open_names[tag] = self.open_names.get(tag, 0) + 1
+        self._count(tag, 1)
+
+    def _count(self, tag, change):
+        self.open_names[tag] = self.open_names.get(tag, 0) + change
+        self.dropping += change * (tag in DROPPED)
+        self.hiding += change * (tag in HIDDEN_TEXT)
 
     def _close(self, tag):
         if not self.open_names.get(tag):
             return
         while self.stack:
             name, block = self.stack.pop()
-            self.open_names[name] -= 1
+            self._count(name, -1)
             if block is not None:
                 self.blocks[block][2] = len(self.pieces)
             if self.found and len(self.stack) < self.root_depth:
@@ -131,12 +134,18 @@ class _Blocks(HTMLParser):
         return out
 
 
-def article_text(page: str | None) -> str:
-    """Text of the first article, else of the first main element, else nothing."""
+def article_text(page: str | None) -> str | None:
+    """Text of the first article, else of the first main element, else nothing.
+
+    Null for markup that the parser rejects, so that one page cannot stop a job.
+    """
     for root in ROOTS:
         parser = _Blocks(root)
-        parser.feed(page or "")
-        lines = parser.lines()
+        try:
+            parser.feed(page or "")
+            lines = parser.lines()
+        except AssertionError:
+            return None
         if parser.found:
             return "\n".join(lines)
     return ""

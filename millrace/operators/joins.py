@@ -85,7 +85,7 @@ def regional_report(df: DataFrame, regions: list[str], customers: str = "custome
     per_region = df.groupBy("region").agg(
         F.sum(customers).cast("bigint").alias("customers"),
         F.sum(revenue).cast("bigint").alias("revenue"),
-        F.any_value(currency, F.lit(True)).alias("currency"))
+        F.max(currency).alias("currency"))
     filled = (_names(df.sparkSession, regions).join(per_region, "region", "left")
               .select("region",
                       F.coalesce("customers", F.lit(0)).alias("customers"),

@@ -77,7 +77,7 @@ def route(df: DataFrame, value: str = "value",
     """
     labelled = df.withColumn("route", route_label(F.col(value), threshold))
     return (labelled.filter(F.col(value) > threshold),
-            labelled.filter(F.coalesce(F.col(value) <= threshold, F.lit(True))))
+            labelled.filter((F.col(value) <= threshold) | F.col(value).isNull()))
 
 
 def upper_names(df: DataFrame, name: str = "name") -> DataFrame:

@@ -22,15 +22,15 @@ def _stream(t, name):
 @query("st_order_book", """
 , closed AS (
   SELECT date_trunc('hour', ts) AS window_start, market_id, count(*) AS snapshot_count,
-         round(avg((best_ask - best_bid) / best_bid * 100) + 1e-7, 4) AS avg_spread_pct,
+         avg((best_ask - best_bid) / best_bid * 100) AS spread,
          CAST(sum(total_volume) AS BIGINT) AS total_market_volume
   FROM v_book
   WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR
         <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM v_book)
   GROUP BY 1, 2)
 SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, market_id, snapshot_count,
-       avg_spread_pct, total_market_volume
-FROM closed WHERE avg_spread_pct < 0.05 OR total_market_volume < 100""", (V_BOOK,))
+       round(spread + 1e-7, 4) AS avg_spread_pct, total_market_volume
+FROM closed WHERE spread < 0.05 OR total_market_volume < 100""", (V_BOOK,))
 def st_order_book(t):
     path = shared_dir(t.spark, "violations")
     book = streams.event_time(as_book(_stream(t, "lineitem")))

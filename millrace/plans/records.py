@@ -418,10 +418,11 @@ def set_union_inputs(t):
 MARKETS = """
 , stats AS (
   SELECT market_id, count(*) AS snapshot_count,
-         round(avg((best_ask - best_bid) / best_bid * 100) + 1e-7, 4) AS avg_spread_pct,
+         avg((best_ask - best_bid) / best_bid * 100) AS spread,
          CAST(sum(total_volume) AS BIGINT) AS total_market_volume
   FROM v_book GROUP BY market_id)
-SELECT * FROM stats"""
+SELECT market_id, snapshot_count, round(spread + 1e-7, 4) AS avg_spread_pct, total_market_volume
+FROM stats"""
 
 
 @query("agg_market_stats", MARKETS, (V_BOOK,))
@@ -430,13 +431,13 @@ def agg_market_stats(t):
 
 
 @query("agg_rule_violations",
-       MARKETS + " WHERE avg_spread_pct < 0.05 OR total_market_volume < 145000", (V_BOOK,))
+       MARKETS + " WHERE spread < 0.05 OR total_market_volume < 145000", (V_BOOK,))
 def agg_rule_violations(t):
     return rounded(agg.rule_violations(agg.market_stats(book(t)), 0.05, 145000))
 
 
 @query("agg_rule_violations_default",
-       MARKETS + " WHERE avg_spread_pct < 0.5 OR total_market_volume < 50000", (V_BOOK,))
+       MARKETS + " WHERE spread < 0.5 OR total_market_volume < 50000", (V_BOOK,))
 def agg_rule_violations_default(t):
     return rounded(agg.rule_violations(agg.market_stats(book(t))))
 

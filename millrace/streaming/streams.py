@@ -50,11 +50,12 @@ def trigger_stream(events: DataFrame, watch: DataFrame, delay: str = "1 day") ->
     """One run row per new successful materialization of a watched asset.
 
     ``watch(asset, job)`` says which job follows which asset. A materialization
-    delivered again within ``delay`` starts no second run.
+    delivered again within ``delay`` starts no second run. Only events of
+    watched assets are kept in the state.
     """
     return (events.filter("success").withWatermark("ts", delay)
-            .dropDuplicatesWithinWatermark(["event_id"])
             .join(watch.select("asset", "job"), "asset")
+            .dropDuplicatesWithinWatermark(["job", "event_id"])
             .select(F.concat_ws(":", "job", F.col("event_id").cast("string")).alias("run_key"),
                     "job", "asset", "event_id", "ts"))
 

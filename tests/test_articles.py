@@ -39,6 +39,10 @@ def test_article_text(page, wanted):
     assert article_text(page) == wanted
 
 
+def test_rejected_markup_gives_null():
+    assert article_text("<article><p>x</p><![strange[y]]></article>") is None
+
+
 def test_in_spark(spark, rows):
     pages = spark.createDataFrame([(1, "<article><p>é</p></article>"), (2, None)], "page_id int, html string")
     assert rows(extract_articles(pages).select("page_id", "article"), "page_id") == [(1, "é\n"), (2, "")]

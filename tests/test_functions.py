@@ -64,7 +64,7 @@ def test_guarded_ratios(spark):
 
 
 def test_tail_counts_characters(spark):
-    texts = ["", "abc", "é" * 9 + "z", "日本語" * 5, "a😀" * 8, None]
+    texts = ["", "abc", "é" * 9 + "z", "xé1234", "😀abcd", "é12", "日1", "日本語" * 5, "a😀" * 8, None]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     for n in (1, 3, 5, 100):
         got = [r[0] for r in df.select(text.tail(F.col("t"), n)).collect()]
