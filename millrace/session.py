@@ -9,16 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR = "spark.millrace.ownSharedDir"
+PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def build_session(app_name: str = "millrace", master: str | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
+                  conf: dict[str, str] | None = None,
+                  largest_shuffle_bytes: int | None = None) -> SparkSession:
     """A session with the settings the operators rely on.
 
     The time zone is UTC so that calendar arithmetic does not depend on the
-    machine. AQE picks shuffle sizes and splits skewed join partitions, so no
-    partition count is fixed here. Arrow batches are bounded in bytes because
-    pages and documents differ in size, and streaming state is kept off the heap.
+    machine. AQE merges small shuffle partitions and splits skewed ones of a
+    join, but never adds any: for large data say how many bytes the largest
+    shuffle moves, and it starts with that many partitions of 128 MB. Arrow
+    batches are bounded in bytes because pages and documents differ in size, and
+    streaming state is kept off the heap.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -31,8 +35,12 @@ def build_session(app_name: str = "millrace", master: str | None = None,
         "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        **(conf or {}),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
     }
+    if largest_shuffle_bytes:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            max(200, -(-largest_shuffle_bytes // PARTITION_BYTES)))
+    settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -46,16 +46,21 @@ def order_book_stream(book: DataFrame, min_spread: float = MIN_SPREAD_PCT,
         "avg_spread_pct", "total_market_volume")
 
 
-def trigger_stream(events: DataFrame, watch: DataFrame, delay: str = "1 day") -> DataFrame:
+def trigger_stream(events: DataFrame, watch: DataFrame, delay: str = "1 day",
+                   salts: int = 8) -> DataFrame:
     """One run row per new successful materialization of a watched asset.
 
     ``watch(asset, job)`` says which job follows which asset. A materialization
     delivered again within ``delay`` starts no second run. Only events of
-    watched assets are kept in the state.
+    watched assets are kept in the state. An event delivered very many times is
+    first reduced to one copy per salt, in as many tasks, and then to one.
     """
-    return (events.filter("success").withWatermark("ts", delay)
-            .join(watch.select("asset", "job"), "asset")
-            .dropDuplicatesWithinWatermark(["job", "event_id"])
+    watched = (events.filter("success").withWatermark("ts", delay)
+               .join(watch.select("asset", "job"), "asset"))
+    if salts > 1:
+        watched = watched.withColumn("_salt", F.spark_partition_id() % salts)
+        watched = watched.dropDuplicatesWithinWatermark(["job", "event_id", "_salt"])
+    return (watched.dropDuplicatesWithinWatermark(["job", "event_id"])
             .select(F.concat_ws(":", "job", F.col("event_id").cast("string")).alias("run_key"),
                     "job", "asset", "event_id", "ts"))
 

@@ -48,16 +48,17 @@ def test_order_book_over_restarts(spark, tmp_path, rows):
     assert got == rows(wanted.select(*columns), *order)
 
 
-def test_each_materialization_triggers_once(spark, tmp_path, rows):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_each_materialization_triggers_once(spark, tmp_path, rows, salts):
     source, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
     watch = spark.createDataFrame([("a", "job_a"), ("a", "job_b"), ("c", "job_c")], "asset string, job string")
     first = [("a", 1, START, True, 0.0), ("b", 2, START, True, 0.0), ("a", 3, START, False, 0.0),
              ("a", 1, START, True, 0.0)]
-    second = [("a", 1, START, True, 0.0), ("c", 4, START + timedelta(hours=1), True, 0.0)]
+    second = [("a", 1, START, True, 0.0)] * 500 + [("c", 4, START + timedelta(hours=1), True, 0.0)]
     for new in (first, second):
         arrive(spark, source, new, EVENTS)
         events = streams.read_stream(spark, str(source), EVENTS, files_per_batch=1)
-        streams.land(streams.trigger_stream(events, watch), out, progress)
+        streams.land(streams.trigger_stream(events, watch, salts=salts), out, progress)
     assert rows(spark.read.parquet(out).select("run_key", "asset"), "run_key") == [
         ("job_a:1", "a"), ("job_b:1", "a"), ("job_c:4", "c")]
 
