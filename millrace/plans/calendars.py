@@ -243,12 +243,11 @@ WITH r AS (
 SELECT event_id, CAST(printf('%.2f', s) AS DOUBLE) AS duration_seconds,
        CASE WHEN s < 60 THEN printf('%.1fs', s) WHEN s < 3600 THEN printf('%.1fm', s / 60)
             ELSE printf('%.1fh', s / 3600) END AS execution_time,
-       length(stdout) AS stdout_length, md5(stdout) AS stdout_md5
+       md5(stdout) AS stdout_md5
 FROM r""")
 def run_summary(t):
     summary = freshness.run_summary(runs(t))
     return summary.select("event_id", "duration_seconds", "execution_time",
-                          F.length("stdout").cast("bigint").alias("stdout_length"),
                           F.md5("stdout").alias("stdout_md5"))
 
 

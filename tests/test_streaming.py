@@ -48,6 +48,20 @@ def test_order_book_over_restarts(spark, tmp_path, rows):
     assert got == rows(wanted.select(*columns), *order)
 
 
+def test_snapshots_later_than_the_delay_are_dropped(spark, tmp_path, rows):
+    source, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
+
+    def snapshot(i, hour, minute):
+        return ("m", i, START + timedelta(hours=hour, minutes=minute), 0.5, 0.5, 1)
+    # the first two files close hour 0 before its last snapshot arrives with the third
+    for new in ([snapshot(1, 0, 5), snapshot(2, 1, 5)], [snapshot(3, 1, 20)],
+                [snapshot(4, 0, 59), snapshot(5, 1, 1), snapshot(6, 3, 0)]):
+        arrive(spark, source, new, BOOK)
+        streams.land(streams.order_book_stream(streams.read_stream(spark, str(source), BOOK)), out, progress)
+    got = spark.read.parquet(out).select(F.hour("window_start").alias("hour"), "snapshot_count")
+    assert rows(got, "hour") == [(0, 1), (1, 3)]
+
+
 @pytest.mark.parametrize("salts", [1, 4])
 def test_each_materialization_triggers_once(spark, tmp_path, rows, salts):
     source, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
