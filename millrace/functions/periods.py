@@ -71,3 +71,21 @@ def last_finished_key(now: datetime, cadence: str | None, tz: str = "UTC") -> st
     else:
         start = (day.replace(day=1) - timedelta(days=1)).replace(day=1)
     return start.strftime(_PY_FORMAT[unit])
+
+
+def key_bounds(key: str, cadence: str | None, tz: str = "UTC") -> tuple[datetime, datetime]:
+    """First moment of the period of a key and first moment after it, in UTC without zone.
+
+    An hour that a clock change repeats covers both.
+    """
+    unit = period_unit(cadence)
+    start = datetime.strptime(key, _PY_FORMAT[unit])
+    if unit == "month":
+        end = (start.replace(day=1) + timedelta(days=32)).replace(day=1)
+    else:
+        end = start + {"hour": timedelta(hours=1), "day": timedelta(days=1),
+                       "week": timedelta(days=7)}[unit]
+
+    def utc(local: datetime) -> datetime:
+        return local.replace(tzinfo=ZoneInfo(tz)).astimezone(timezone.utc).replace(tzinfo=None)
+    return utc(start), utc(end)

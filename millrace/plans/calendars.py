@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import freshness, partitions
+from millrace.operators.partitions import assign_partition
 from millrace.plans.registry import query, rounded, text_time
 from millrace.plans.tables import NOW, V_MAT, V_SALES, materializations, sales
 from millrace.session import shared_dir
@@ -59,7 +60,7 @@ def part_assign(t):
     for cadence, tz, output in [("daily", "UTC", "day_key"), ("weekly", "UTC", "week_key"),
                                 ("monthly", "UTC", "month_key"),
                                 ("hourly", "America/New_York", "ny_hour_key")]:
-        keyed = partitions.assign_partition(keyed, "ts", cadence, tz, output=output)
+        keyed = assign_partition(keyed, "ts", cadence, tz, output=output)
     return keyed.drop("ts")
 
 
@@ -111,8 +112,8 @@ WHERE ts >= TIMESTAMP '2024-01-30' AND ts < TIMESTAMP '2024-01-31'""")
 def part_run_one(t):
     """Only the last day finished before now is processed."""
     path = shared_dir(t.spark, "one-day")
-    days = t.events.select("event_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("date"))
-    run_partition(days, "date", path, now=datetime.fromisoformat(NOW),
+    days = assign_partition(t.events.select("event_id", "value", "ts"), "ts", output="date")
+    run_partition(days, "date", path, now=datetime.fromisoformat(NOW), ts="ts",
                   transform=lambda rows: rows.withColumn("transformed", F.lit(True)))
     return t.spark.read.schema(
         "event_id bigint, value double, transformed boolean, date string").parquet(path)
@@ -130,7 +131,7 @@ def part_backfill(t):
     bounds = t.events.select("event_type").distinct().withColumns({
         "lo": F.to_timestamp(F.lit("2024-01-01")), "hi": F.to_timestamp(F.lit(NOW))})
     calendar = partitions.partition_calendar(bounds, "lo", "hi", "hourly")
-    existing = partitions.assign_partition(t.events.select("event_type", "ts"), "ts", "hourly")
+    existing = assign_partition(t.events.select("event_type", "ts"), "ts", "hourly")
     return partitions.missing_partitions(
         calendar.select("event_type", "partition_key"), existing, "event_type", "partition_key")
 

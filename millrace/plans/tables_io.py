@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.lineage import topo_levels, upstream
+from millrace.operators.partitions import assign_partition
 from millrace.operators.profile import merge_metadata, profile
 from millrace.plans.registry import query, rounded, text_time
 from millrace.plans.tables import TABLES, V_CUST, V_EDGES, customers, edges
@@ -139,10 +140,9 @@ FROM events GROUP BY 1""")
 def sink_partitioned(t):
     """All days are written, then one of them is replaced with doubled values."""
     path = shared_dir(t.spark, "daily")
-    days = t.events.select("event_id", "value",
-                           F.date_format("ts", "yyyy-MM-dd").alias("date"))
+    days = assign_partition(t.events.select("event_id", "value", "ts"), "ts", output="date")
     writers.write_partition(days, path, "date", rebalance=True)
-    writers.run_partition(days, "date", path, "2024-01-15",
+    writers.run_partition(days, "date", path, "2024-01-15", ts="ts",
                           transform=lambda rows: rows.withColumn("value", F.col("value") * 2))
     stored = t.spark.read.schema("event_id bigint, value double, date string").parquet(path)
     return rounded(stored.groupBy("date").agg(F.count(F.lit(1)).alias("row_count"),

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.periods import last_finished_key
+from millrace.functions.periods import key_bounds, last_finished_key
 
 # The output formats that can be asked for.
 OUTPUT_FORMATS = ("json", "csv", "xml")
@@ -75,18 +75,29 @@ def write_by_key(df: DataFrame, path: str, key: str, buckets: int) -> None:
     write_partition(df.withColumn("bucket", bucket), path, "bucket")
 
 
+def within(df: DataFrame, ts: str, start: datetime, end: datetime) -> DataFrame:
+    """Rows from ``start`` up to, not including, ``end`` (UTC), as filters the scan can use."""
+    kind = df.schema[ts].dataType
+    return df.filter((F.col(ts) >= F.lit(start.isoformat(" ")).cast(kind))
+                     & (F.col(ts) < F.lit(end.isoformat(" ")).cast(kind)))
+
+
 def run_partition(df: DataFrame, key_column: str, path: str, key: str | None = None,
                   now: datetime | None = None, cadence: str = "daily", tz: str = "UTC",
-                  transform=None) -> str:
+                  transform=None, ts: str | None = None) -> str:
     """Process one partition key and replace only it; return the key.
 
     Without a key, the last period finished before ``now`` is used. The filter
-    reaches the scan, as a partition filter when the source is partitioned.
+    reaches the scan when the source is partitioned by the key. When the key is
+    computed from a time, name that column as ``ts``: its range is filtered
+    too, which skips the files and row groups of other periods.
     """
     if key is None:
         if now is None:
             raise ValueError("give a key, or the time to take the last finished period of")
         key = last_finished_key(now, cadence, tz)
+    if ts:
+        df = within(df, ts, *key_bounds(key, cadence, tz))
     rows = df.filter(F.col(key_column) == F.lit(key))
     write_partition(transform(rows) if transform else rows, path, key_column)
     return key

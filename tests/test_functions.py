@@ -101,3 +101,16 @@ def test_names_and_addresses(spark):
 ])
 def test_last_finished_key(now, cadence, tz, key):
     assert periods.last_finished_key(datetime.fromisoformat(now), cadence, tz) == key
+
+
+@pytest.mark.parametrize("key, cadence, tz, start, end", [
+    ("2024-02-29", "daily", "UTC", "2024-02-29 00:00", "2024-03-01 00:00"),
+    ("2024-03-10", "daily", "America/New_York", "2024-03-10 05:00", "2024-03-11 04:00"),
+    ("2024-12-01", "monthly", "UTC", "2024-12-01 00:00", "2025-01-01 00:00"),
+    ("2024-02-26", "weekly", "UTC", "2024-02-26 00:00", "2024-03-04 00:00"),
+    ("2024-01-01-23:00", "hourly", "UTC", "2024-01-01 23:00", "2024-01-02 00:00"),
+    ("2024-11-03-01:00", "hourly", "America/New_York", "2024-11-03 05:00", "2024-11-03 07:00"),
+])
+def test_key_bounds(key, cadence, tz, start, end):
+    assert periods.key_bounds(key, cadence, tz) == (
+        datetime.fromisoformat(start), datetime.fromisoformat(end))

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions.periods import key_bounds
 from millrace.operators import aggregates as agg
 from millrace.operators import joins, partitions, quality, transforms, windows
 from millrace.plans import QUERIES
@@ -39,6 +40,11 @@ def test_time_filters_reach_the_scan(spark, data, plan_of):
     assert "GreaterThanOrEqual(ts,2024-01-29" in plan_of(QUERIES["fresh_policy"](spark, data))
 
 
+def test_one_day_of_an_unpartitioned_table_is_a_range_for_the_scan(t, plan_of):
+    plan = plan_of(writers.within(t.events, "ts", *key_bounds("2024-01-15", "daily")))
+    assert "GreaterThanOrEqual(ts,2024-01-15T00:00" in plan and "LessThan(ts,2024-01-16T00:00" in plan
+
+
 def test_market_rules_read_what_they_need_and_combine_first(t, plan_of):
     plan = plan_of(agg.rule_violations(agg.market_stats(book(t))))
     schema = plan.split("ReadSchema: struct<")[1].split(">")[0]

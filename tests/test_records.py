@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from millrace.operators import aggregates as agg
 from millrace.operators import joins, transforms, windows
 
+# Small inputs whose results are known.
 RAW = [(1, 100, True), (2, None, False), (3, 200, True), (4, -50, False)]
 SALES = [(1, 1, 50000, "Q1"), (2, 2, 75000, "Q1"), (3, 1, 60000, "Q2"), (4, 3, 15000, "Q2")]
 CUSTOMERS = [(1, "Acme Corp", "US", "enterprise"), (2, "Global Industries", "EU", "enterprise"),
