@@ -126,6 +126,8 @@ def with_run_date(df: DataFrame, text: str = "date") -> tuple[DataFrame, DataFra
 def limit_ordered(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     """First ``n`` rows in an order, which a distributed table needs to be told.
 
-    Spark keeps ``n`` rows per task and merges those (top-k, no full sort).
+    Spark keeps ``n`` rows per task and merges those (top-k, no full sort). For
+    an ``n`` that does not fit a task, ``spark.sql.execution.topKSortFallbackThreshold``
+    makes it a distributed sort.
     """
     return df.orderBy(*order).limit(n)

@@ -17,7 +17,7 @@ from millrace.sources.readers import with_source_file
 
 @query("proj_value_category", """
 SELECT event_id, value, value * 2 AS value_doubled,
-       CASE WHEN value > 150 THEN 'high' ELSE 'low' END AS value_category
+       CASE WHEN value > 150 THEN 'high' WHEN value <= 150 THEN 'low' END AS value_category
 FROM events""")
 def proj_value_category(t):
     return transforms.categorize(t.events.select("event_id", "value"))
@@ -370,7 +370,7 @@ def agg_totals(t):
 
 
 @query("agg_category_counts", """
-SELECT CASE WHEN value > 150 THEN 'high' ELSE 'low' END AS value_category,
+SELECT CASE WHEN value > 150 THEN 'high' WHEN value <= 150 THEN 'low' END AS value_category,
        count(*) AS records
 FROM events GROUP BY 1""")
 def agg_category_counts(t):

@@ -22,7 +22,7 @@ def build_session(app_name: str = "millrace", master: str | None = None,
     join, but never adds any: for large data say how many bytes the largest
     shuffle moves, and it starts with that many partitions of 128 MB. Arrow
     batches are bounded in bytes because pages and documents differ in size, and
-    streaming state is kept off the heap.
+    streaming state is kept off the heap. Checkpoint files go when their frame does.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -35,6 +35,7 @@ def build_session(app_name: str = "millrace", master: str | None = None,
         "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
     }
     if largest_shuffle_bytes:

@@ -132,3 +132,19 @@ def test_parse_check_logs(spark):
         ("r2", "cols", "sql_column", "", "", True, 0, True),
         ("r2", "py", "python", "", "", True, 0, True),
         ("r3", "überprüfung", "python", "", "", True, len(lines[9][1]), False)])
+
+
+@pytest.mark.parametrize("table_ord, column_ord, kind, column", [
+    (0, 1, "sql_table", None), (1, 0, "sql_column", "email")])
+def test_the_first_check_that_fits_a_line_takes_it(spark, rows, table_ord, column_ord, kind, column):
+    lines = spark.createDataFrame(
+        [("r", "{SQLCheckOperator} INFO - Task[mixed] passed, column email"),
+         ("r", "{SQLCheckOperator} INFO - Task[mixed] passed, column other")], "run string, line string")
+    specs = spark.createDataFrame(
+        [("r", table_ord, "mixed", "sql_table", "t", None, "rows"),
+         ("r", column_ord, "mixed", "sql_column", "t", "email", "null_check")],
+        "run string, ord int, source_task string, check_type string, table string, column string, "
+        "check_name string")
+    got = quality.parse_check_logs(lines, specs).select("log_line", "check_type", "column")
+    by_line = {r[0].split()[-1]: (r[1], r[2]) for r in got.collect()}
+    assert by_line == {"email": (kind, column), "other": ("sql_table", None)}
