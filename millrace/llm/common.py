@@ -24,11 +24,6 @@ def words(text: Column) -> Column:
         F.split(trimmed, GAP_PATTERN, -1))
 
 
-def count_chars(text: Column, chars: str) -> Column:
-    """How many code points of a text are among ``chars``."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
-
-
 def free_name(taken: DataFrame | Iterable[str], wanted: str) -> str:
     """``wanted``, with underscores added until no column has that name."""
     names = {c.lower() for c in (taken.columns if isinstance(taken, DataFrame) else taken)}

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD_PATTERN, bind, count_chars, free_name, words
+from millrace.llm.common import GAP_PATTERN, WORD_PATTERN, bind, free_name, words
 
 WINDOW = 5
 # The characters that count as symbols.
@@ -64,12 +64,12 @@ def _counts(text: Column, word: Column, lines: Column, hashes: Column) -> list[C
     distinct = F.size(F.array_distinct(hashes))
     counts = {
         "n_words": n,
-        "word_chars": F.length(F.translate(text, " \t\n\x0b\x0c\r", "")),
-        "n_symbols": count_chars(text, SYMBOLS),
+        "word_chars": F.length(F.regexp_replace(text, GAP_PATTERN, "")),
+        "n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": F.when(distinct == F.size(hashes), 0).otherwise(_covered(hashes)),
         "n_lines": F.size(lines),
-        "n_shouts": count_chars(text, "!"),
+        "n_shouts": F.regexp_count(text, F.lit("!")),
         "n_stop_words": F.size(F.filter(
             word, lambda x: x.isin(*STOP_WORDS, *[s.capitalize() for s in STOP_WORDS]))),
     }
