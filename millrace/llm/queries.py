@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm import quality
+from millrace.llm import chat, mixing, quality
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,75 @@ def op1_quality_rules(spark, folder):
     report = quality.with_quality(table(spark, folder, "documents").select("doc_id", "text"))
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return report.select("doc_id", *[F.col(f"quality_report.{f}").alias(f) for f in fields])
+
+
+@query("""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+s AS (
+  SELECT source, sum(size)::DOUBLE AS total,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM d GROUP BY source),
+-- with the k sources that are full first taken out, the others share rest / weights; the right k gives the most
+levels AS (
+  SELECT (sum(total) OVER () - coalesce(sum(3 * total) OVER before, 0))
+         / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM s WINDOW before AS (ORDER BY total / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (
+  SELECT source, total, 3 * total < weight * level AS full_,
+         CASE WHEN 3 * total < weight * level THEN 3 * total ELSE weight * level END AS target,
+         ('0x' || substr(md5(concat_ws(':', '20', source)), 1, 3))::INT / 4096.0::DOUBLE AS start
+  FROM s, (SELECT max(level) AS level FROM levels)),
+r AS (
+  SELECT d.*, t.total, t.target, t.start,
+         CASE WHEN t.total = 0 THEN 0 WHEN full_ THEN 3 ELSE t.target / t.total END AS rate,
+         row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id) AS k
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size::BIGINT AS size, total::BIGINT AS source_size, round(target, 6) AS target,
+       (size * (floor(rate * k + start) - floor(rate * (k - 1) + start)))::BIGINT AS taken
+FROM r""")
+def op3_mixing(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    mix = lambda name: F.col(f"mix.{name}")
+    return mixing.with_copies(docs).select(
+        "doc_id", mix("size").alias("size"), mix("source_size").alias("source_size"),
+        F.round(mix("target"), 6).alias("target"), (mix("size") * mix("copies")).alias("taken"))
+
+
+def conversation_log(conversations: DataFrame) -> DataFrame:
+    """Each row opens a message and streams its text; rows of one turn are messages of their own."""
+    nth = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    rows = conversations.select("conv_id", "turn", "role", "text", nth.alias("nth"))
+    events = F.explode(F.array(
+        F.struct(F.lit("start").alias("kind"), F.col("role").alias("role"), F.lit(None).cast("string").alias("text")),
+        F.struct(F.lit("delta").alias("kind"), F.lit(None).cast("string").alias("role"), F.col("text").alias("text"))))
+    return rows.withColumn("event", events).select(
+        "conv_id", F.col("turn").alias("seq"), "event.kind", F.struct("turn", "nth").alias("message"),
+        "event.role", "event.text")
+
+
+@query("""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+       sum(8 + length(role) + length(text)
+           + length(regexp_replace(role || text, '[^<\\[\\\\\\n]', '', 'g')))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id""")
+def op10_chat_formatting(spark, folder):
+    fixed = "</s>[INST] ok [/INST]"
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  role.alias("role"), F.lit(fixed).alias("text"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    formatted = chat.render(chat.replay(conversation_log(rows)))
+    loss = F.array_join("loss", "")
+    return chat.read_back(formatted).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(
+            t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars")
