@@ -35,3 +35,14 @@ def free_name(taken: DataFrame | Iterable[str], wanted: str) -> str:
 def bind(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, however often it is used."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def worker_memo(key: tuple, make):
+    """One object per Python worker, kept from task to task: a vocabulary, a bounded memo."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_millrace_worker_memo", types.ModuleType("_millrace_worker_memo")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, mixing, quality
+from millrace.llm import chat, mixing, quality, sharding, token_counts
 from millrace.llm.common import table
 
+# Vocabulary files on every machine; see their README for the formats.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+SHARDS = [f"shard-{i:02d}" for i in range(64)]
+SLOTS = 6421
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -137,3 +143,38 @@ def op10_chat_formatting(spark, folder):
             t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
         "formatted_chars")
+
+
+@query()
+def op4_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.with_token_count(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select("doc_id", "n_tokens")
+
+
+@query(f"""
+WITH RECURSIVE shards AS (
+  SELECT i, printf('shard-%02d', i) AS name FROM range({len(SHARDS)}) t(i)),
+preference AS (
+  SELECT list(('0x' || substr(md5(name || '#offset'), 1, 13))::BIGINT % {SLOTS} ORDER BY i) AS start,
+         list(('0x' || substr(md5(name || '#skip'), 1, 13))::BIGINT % {SLOTS - 1} + 1 ORDER BY i) AS step
+  FROM shards),
+-- one row per claim: the slots taken so far, and how far each shard is in its preferences
+claims AS (
+  SELECT 0 AS n, -1::BIGINT AS slot, list_transform(range({SLOTS}), lambda x: false) AS taken,
+         list_transform(range({len(SHARDS)}), lambda x: 0::BIGINT) AS tried
+  UNION ALL
+  SELECT n + 1, found, taken[:found] || [true] || taken[found + 2:],
+         tried[:n % {len(SHARDS)}] || [nth + 1] || tried[n % {len(SHARDS)} + 2:]
+  FROM (
+    SELECT *, (start[n % {len(SHARDS)} + 1] + nth * step[n % {len(SHARDS)} + 1]) % {SLOTS} AS found
+    FROM (
+      SELECT claims.*, start, step,
+             list_filter(range(tried[n % {len(SHARDS)} + 1], {SLOTS}), lambda j: NOT taken[
+               (start[n % {len(SHARDS)} + 1] + j * step[n % {len(SHARDS)} + 1]) % {SLOTS} + 1])[1] AS nth
+      FROM claims, preference WHERE n < {SLOTS}))),
+lookup AS (SELECT slot, printf('shard-%02d', (n - 1) % {len(SHARDS)}) AS shard FROM claims WHERE n > 0)
+SELECT doc_id, shard FROM documents
+JOIN lookup ON slot = ('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT % {SLOTS}""")
+def op8_sharding(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id")
+    return sharding.with_shard(docs, "doc_id", SHARDS, SLOTS)
