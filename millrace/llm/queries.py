@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, mixing, quality, sharding, token_counts
+from millrace.llm import bpe, chat, mixing, quality, sharding, token_counts
 from millrace.llm.common import table
 
 # Vocabulary files on every machine; see their README for the formats.
@@ -178,3 +178,15 @@ JOIN lookup ON slot = ('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT % {S
 def op8_sharding(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id")
     return sharding.with_shard(docs, "doc_id", SHARDS, SLOTS)
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    return bpe.decode(bpe.encode(docs, path), path).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op5_bpe(spark, folder):
+    return bpe_digests(table(spark, folder, "documents").select("doc_id", "text"))
