@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import shared_dir
+
 # The characters between words, and the words they leave.
 GAPS = " \t\n\x0b\x0c\r"
 GAP_PATTERN = r"[\x20\x09-\x0D]+"
@@ -46,3 +48,10 @@ def worker_memo(key: tuple, make):
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Written to the shared folder and read again: computed once, safe from lost executors."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

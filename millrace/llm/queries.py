@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, mixing, quality, sharding, token_counts
+from millrace.llm import bpe, chat, jaccard_join, mixing, quality, sharding, token_counts
 from millrace.llm.common import table
 
 # Vocabulary files on every machine; see their README for the formats.
@@ -190,3 +190,8 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 @query()
 def op5_bpe(spark, folder):
     return bpe_digests(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query()
+def op9_jaccard_join(spark, folder):
+    return jaccard_join.with_components(table(spark, folder, "documents"))
