@@ -207,8 +207,8 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(_similar("left", "right")).select("a", "b")
 
 
-def matching(docs: DataFrame, ids: DataFrame, column: str, how: str) -> DataFrame:
-    """Semi or anti join on one id column.
+def matching(docs: DataFrame, ids: DataFrame, column: str | list[str], how: str) -> DataFrame:
+    """Semi or anti join on ids.
 
     The ids are broadcast only if a count finds no more than BROADCAST_IDS of them, 32 MB
     at most; else both sides are shuffled.
