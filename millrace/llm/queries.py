@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, jaccard_join, mixing, quality, sharding, suffix_dedup, token_counts
+from millrace.llm import ann, bpe, chat, jaccard_join, mixing, quality, sharding, suffix_dedup, token_counts
 from millrace.llm.common import table
 
 # Vocabulary files on every machine; see their README for the formats.
@@ -204,3 +204,9 @@ def op2_suffix_array_dedup(spark, folder):
         "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
         F.coalesce(F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"]), F.lit(0)).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op7_nearest_neighbours(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.neighbours(vectors, vectors.filter("vec_id % 20 = 0"))
