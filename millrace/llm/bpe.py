@@ -9,16 +9,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import free_name, worker_memo
 
 LEAF = 64
-MEMO_CHUNKS = 150_000
+SHORT = 256
+MEMO_CHUNKS = 100_000
+BATCH_ROWS = 256
 LONG_CHARS = 32_768
 PIECE_CHARS = 16_384
 _CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
+# Letters that no normalization form changes, then punctuation: two units at most.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\[-`{-~]*)")
 TEXT, UNITS, PART = 0, 1, 2
 
 
@@ -47,13 +53,28 @@ class Bpe:
             self.tokens[i] = token
         self.vocab = vocab
         self.merges, self.width = {}, [1] * len(self.tokens)
+        self.rank, self.made = {}, []
         for rank, (a, b) in enumerate(model["merges"]):
             new = vocab[a + b]
             self.merges[vocab[a], vocab[b]] = (rank, new)
+            self.rank[vocab[a], vocab[b]] = rank
+            self.made.append(new)
             self.width[new] = self.width[vocab[a]] + self.width[vocab[b]]
         self.cut_special = re.compile(f"({'|'.join(map(re.escape, self.special))})") if self.special else None
         self.plain = spec["normalizer"] is not None and "Lowercase" in json.dumps(spec["normalizer"])
-        self.memo: dict[str, bytes] = {}
+        # the simple case holds for a split into letters, digits and other characters
+        splits = json.dumps(spec["pre_tokenizer"])
+        self.plain &= "\\\\p{L}]+|" in splits and "[^\\\\s\\\\p{L}\\\\p{N}]+" in splits
+        self.base = [self._byte(b) for b in range(256)]
+        self.memo: dict[bytes, bytes] = {}
+        self.known_units: dict[str, list[int]] = {}
+
+    def _byte(self, b: int) -> str:
+        """The character that stands for a byte: itself if printable, else from 256 on."""
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        if b in printable:
+            return chr(b)
+        return chr(256 + sum(1 for x in range(b) if x not in printable))
 
     def symbols(self, unit: str, ends: bool = True) -> list[int]:
         """Ids of a unit's characters; the last one has the word end, if the unit ends here."""
@@ -66,6 +87,8 @@ class Bpe:
         n, merges = len(ids), self.merges
         if n < 2:
             return ids
+        if n <= SHORT:
+            return self._merge_short(ids)
         ids = ids[:]
         heap = [(m[0], i, m[1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
         heapq.heapify(heap)
@@ -85,6 +108,20 @@ class Bpe:
                 heapq.heappush(heap, (m[0], h, m[1]))
         return [i for i in ids if i >= 0]
 
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        get, none = self.rank.get, len(self.made)
+        ids = ids[:]
+        ranks = [get(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks and (rank := min(ranks)) < none:
+            i = ranks.index(rank)
+            ids[i:i + 2] = [new] = [self.made[rank]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get((new, ids[i + 1]), none)
+            if i:
+                ranks[i - 1] = get((ids[i - 1], new), none)
+        return ids
+
     def join(self, left: list[int], right: list[int], symbols: list[int], cut: int) -> list[int]:
         """The encoding of all symbols from those of its two sides, which meet at ``cut``.
 
@@ -118,24 +155,36 @@ class Bpe:
                 for unit, _ in self.split(self.normalize(piece)):
                     yield unit, -1
 
+    def _unit(self, unit: str) -> list[int]:
+        found = self.known_units.get(unit)
+        if found is None:
+            spelled = unit if unit.isascii() else "".join([self.base[b] for b in unit.encode()])
+            found = self.tree(self.symbols(spelled))
+            if len(self.known_units) < MEMO_CHUNKS:
+                self.known_units[unit] = found
+        return found
+
     def chunk(self, chunk: str) -> bytes:
-        if self.plain and chunk.isascii() and chunk.isalpha():
-            ids = self.tree(self.symbols(chunk.lower()))
-        else:
-            ids = []
-            for unit, special in self.units(chunk):
-                ids += [special] if unit is None else self.tree(self.symbols(unit))
+        simple = _SIMPLE.fullmatch(chunk) if self.plain else None
+        if simple:
+            return pack([i for unit in simple.groups() if unit for i in self._unit(unit.lower())])
+        ids = []
+        for unit, special in self.units(chunk):
+            ids += [special] if unit is None else self.tree(self.symbols(unit))
         return pack(ids)
 
     def text(self, text: str | None) -> bytes:
-        chunks, memo = _CHUNK.findall(text or ""), self.memo
+        # splits where _CHUNK does
+        chunks, memo = (text or "").encode().split(), self.memo
         new = set(chunks).difference(memo)
-        if len(memo) + len(new) > MEMO_CHUNKS:
-            memo.clear()
-            new = set(chunks)
         for chunk in new:
-            memo[chunk] = self.chunk(chunk)
-        return b"".join(map(memo.__getitem__, chunks))
+            memo[chunk] = self.chunk(chunk.decode())
+        packed = b"".join(map(memo.__getitem__, chunks))
+        # frequent chunks come early: once full, the memo keeps those it has
+        if len(memo) > MEMO_CHUNKS:
+            for chunk in new:
+                del memo[chunk]
+        return packed
 
     def pieces(self, text: str) -> Iterator[tuple[int, list[str], bool]]:
         """(kind, body, goes on): cut at white space, and units that are long in parts."""
@@ -211,6 +260,31 @@ def _bpe(path: str) -> Bpe:
     return worker_memo(("bpe", path), lambda: Bpe(path))
 
 
+def _adding(path: str, column: str, into: list[str], make):
+    """A function on Arrow batches that adds columns, few rows at a time."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _bpe(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(at, BATCH_ROWS)
+                new = make(bpe, part.column(column).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *into])
+    return add
+
+
+def _encoded(bpe: Bpe, texts: list[str | None]) -> list[pa.Array]:
+    return [pa.array([bpe.text(t) for t in texts], pa.binary())]
+
+
+def _decoded(bpe: Bpe, ids: list[bytes | None]) -> list[pa.Array]:
+    token = bpe.tokens.__getitem__
+    return [pa.array([" ".join(map(token, unpack(p or b"").tolist())) for p in ids], pa.string())]
+
+
+def _plain(df: DataFrame, drop: str, keep: str) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() != drop.lower() or c == keep])
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids",
            long_chars: int = LONG_CHARS) -> DataFrame:
     """Adds the ids of each text, packed as little-endian unsigned 32-bit integers.
@@ -222,12 +296,6 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids",
     an empty or blank one has no ids. Rows stay as they are, repeated ones too; a column
     named like ``into`` is replaced. Every executor must be able to read ``path``.
     """
-    @F.pandas_udf("binary")
-    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = _bpe(path)
-        for texts in batches:
-            yield pd.Series([bpe.text(t) for t in texts], dtype=object)
-
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = _bpe(path)
         for frame in frames:
@@ -245,11 +313,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids",
         pieces = zip(frame["kind"], map(list, frame["body"]), frame["goes_on"], frame["ids"])
         return pd.DataFrame({"key": frame["key"].iloc[:1], "ids": [_bpe(path).joined(list(pieces))]})
 
-    plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != into.lower() or c == text])
+    plain = _plain(docs, into, text)
     kept = [F.col(f"`{c}`") for c in plain.columns if c.lower() != into.lower()]
     ids, key = free_name(plain, "ids__"), free_name(plain, "key__")
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    short = plain.filter(F.length(body) <= long_chars).withColumn(ids, whole(body))
+    schema = T.StructType([*plain.schema.fields, T.StructField(ids, T.BinaryType())])
+    short = plain.filter(F.length(body) <= long_chars).mapInArrow(_adding(path, text, [ids], _encoded), schema)
     long = plain.filter(F.length(body) > long_chars).withColumn(key, F.sha2(body, 256))
     texts = long.select(F.col(key).alias("key"), body.alias("body")).dropDuplicates(["key"])
     pieces = texts.mapInPandas(cut, "key string, n int, kind int, body array<string>, goes_on boolean")
@@ -265,11 +334,8 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", into: str = "decoded
     Without a decoder in the file that is the tokens with a space between. Null ids
     count as none. A column named like ``into`` is replaced.
     """
-    @F.pandas_udf("string")
-    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = _bpe(path).tokens.__getitem__
-        for packed in batches:
-            yield pd.Series([" ".join(map(token, unpack(p or b"").tolist())) for p in packed], dtype=object)
-
-    plain = encoded.select(*[F.col(f"`{c}`") for c in encoded.columns if c.lower() != into.lower()])
-    return plain.withColumn(into, text(F.col(f"`{ids}`")))
+    plain = _plain(encoded, into, ids)
+    text = free_name(plain, "decoded__")
+    schema = T.StructType([*plain.schema.fields, T.StructField(text, T.StringType())])
+    return plain.mapInArrow(_adding(path, ids, [text], _decoded), schema).select(
+        *[F.col(f"`{c}`") for c in plain.columns if c.lower() != into.lower()], F.col(text).alias(into))

@@ -93,11 +93,17 @@ def _sets(texts) -> Iterator[np.ndarray]:
     return shingle_sets(texts, worker_memo(("shingle words",), _Words))
 
 
+def _counts(shingles: np.ndarray) -> bytes:
+    """Shingles in each of 64 ranges of hashes, 255 at most."""
+    return np.minimum(np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
 def _describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        sets = [(len(s), set_id(s)) for s in _sets(frame["text"])]
-        yield pd.DataFrame({"doc": frame["doc"], "n_shingles": [n for n, _ in sets],
-                            "node": pd.array([i if n else None for n, i in sets], dtype="Int64")})
+        rows = [(len(s), set_id(s), _counts(s)) for s in _sets(frame["text"])]
+        yield pd.DataFrame({"doc": frame["doc"], "n_shingles": [n for n, _, _ in rows],
+                            "node": pd.array([i if n else None for n, i, _ in rows], dtype="Int64"),
+                            "bins": [b for _, _, b in rows]})
 
 
 def _signer(partitions: int):
@@ -163,11 +169,8 @@ def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _with_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        rows = []
-        for s in _sets(frame["text"]):
-            bins = np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BINS), 255)
-            rows.append((set_id(s), len(s), s.tobytes(), bins.astype(np.uint8).tobytes()))
-        yield pd.DataFrame(rows, columns=["node", "size", "shingles", "bins"])
+        rows = [(set_id(s), s.tobytes()) for s in _sets(frame["text"])]
+        yield pd.DataFrame(rows, columns=["node", "shingles"])
 
 
 @F.pandas_udf(T.BooleanType())
@@ -181,30 +184,45 @@ def _similar(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([linked(a, b) for a, b in zip(left, right)], dtype=bool)
 
 
-def _left_over(frame: pd.DataFrame) -> pd.DataFrame:
+def _bins(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, BINS).astype(np.int16)
+
+
+@F.pandas_udf(T.BooleanType())
+def _close(left: pd.Series, right: pd.Series, sizes: pd.Series) -> pd.Series:
+    """False if the counts by range prove that two sets differ in more than a ninth of their sizes."""
+    return pd.Series(np.abs(_bins(left) - _bins(right)).sum(axis=1) * 9 <= sizes.to_numpy())
+
+
+def _left_over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of a bucket in two components that could still be linked.
 
     Counts of shingles in 64 ranges differ by no more than the sets do, so pairs whose
     counts differ by more than a ninth of their sizes are no link.
     """
-    nodes, labels = frame["node"].to_numpy(), frame["label"].to_numpy()
-    sizes = frame["size"].to_numpy()
-    bins = np.stack([np.frombuffer(x, dtype=np.uint8) for x in frame["bins"]]).astype(np.int16)
-    found = []
-    for i in range(len(nodes) - 1):
-        near = (labels[i + 1:] != labels[i]) & (np.abs(sizes[i + 1:] - sizes[i]) * 9 <= sizes[i + 1:] + sizes[i])
-        at = np.flatnonzero(near) + i + 1
-        if len(at):
-            apart = np.abs(bins[at] - bins[i]).sum(axis=1)
-            found += [(min(nodes[i], nodes[j]), max(nodes[i], nodes[j]))
-                      for j in at[apart * 9 <= sizes[at] + sizes[i]]]
-    return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
-
-
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    for frame in frames:
+        found = set()
+        for members in frame["members"]:
+            node, label, size = (np.array([m[c] for m in members]) for c in ("node", "label", "n_shingles"))
+            bins = _bins(m["bins"] for m in members)
+            for i in range(len(node) - 1):
+                both = size[i + 1:] + size[i]
+                at = np.flatnonzero((label[i + 1:] != label[i]) & (np.abs(size[i + 1:] - size[i]) * 9 <= both)) + i + 1
+                if len(at):
+                    at = at[np.abs(bins[at] - bins[i]).sum(axis=1) * 9 <= size[at] + size[i]]
+                    found.update((min(node[i], x), max(node[i], x)) for x in node[at].tolist())
+        yield pd.DataFrame(list(found), columns=["a", "b"], dtype="int64")
+
+
+def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose sets pass the check; sets are made anew for those in pairs only."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    docs = staged(nodes.join(ends, "node").select("doc").distinct(), "in-pairs")
+    sets = staged(matching(texts, docs, "doc", "left_semi").mapInPandas(
+        _with_sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").filter(_similar("left", "right")).select("a", "b")
+    return staged(pairs.join(left, "a").join(right, "b").filter(_similar("left", "right")).select("a", "b"), "links")
 
 
 def matching(docs: DataFrame, ids: DataFrame, column: str | list[str], how: str) -> DataFrame:
@@ -237,17 +255,17 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     kind = texts.schema["doc"].dataType.simpleString()
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    known = staged(texts.mapInPandas(_describe, f"doc {kind}, n_shingles long, node long"), "shingled")
+    known = staged(texts.mapInPandas(_describe, f"doc {kind}, n_shingles long, node long, bins binary"), "shingled")
+    nodes = known.filter("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("bins").alias("bins"))
     blocks = texts.select("text").mapInPandas(_signer(partitions), "home int, signatures binary, nodes binary")
     buckets = staged(blocks.groupBy("home").applyInPandas(_buckets, "nodes binary"), "buckets")
     stars = staged(buckets.mapInPandas(_stars, "a long, b long").distinct(), "stars")
 
-    active = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
-    one = known.join(active, "node").groupBy("node").agg(F.min("doc").alias("doc")).select("doc").distinct()
-    sets = staged(matching(texts, one, "doc", "left_semi").mapInPandas(
-        _with_sets, "node long, size long, shingles binary, bins binary").dropDuplicates(["node"]), "sets")
-
-    links = staged(_linked(stars, sets), "links")
+    side = lambda end: nodes.select(F.col("node").alias(end), F.struct("n_shingles", "bins").alias(f"of_{end}"))
+    near = staged(stars.join(side("a"), "a").join(side("b"), "b").filter(_close(
+        "of_a.bins", "of_b.bins", F.col("of_a.n_shingles") + F.col("of_b.n_shingles"))).select("a", "b"), "near")
+    links = _linked(near, nodes, texts)
     labels = components(links)
 
     # a bucket of two is done with its star
@@ -256,11 +274,12 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
                .mapInPandas(_members, "bucket long, node long")
                .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     open_ = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    rest = members.join(open_.select("bucket"), "bucket", "left_semi").join(sets.drop("shingles"), "node")
-    pairs = rest.groupBy("bucket").applyInPandas(_left_over, "a long, b long").distinct()
-    more = staged(_linked(pairs.join(stars, ["a", "b"], "left_anti"), sets), "more-links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    rest = (members.join(open_.select("bucket"), "bucket", "left_semi").join(nodes, "node").groupBy("bucket")
+            .agg(F.collect_list(F.struct("node", "label", "n_shingles", "bins")).alias("members")))
+    pairs = rest.select("members").mapInPandas(_left_over, "a long, b long").distinct()
+    untried = staged(pairs.join(stars, ["a", "b"], "left_anti"), "untried")
+    if not untried.isEmpty():
+        labels = components(links.union(_linked(untried, nodes, texts)))
 
     placed = known.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = placed.filter("node IS NOT NULL").groupBy("label").agg(F.min("doc").alias("first"))

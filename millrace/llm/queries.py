@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm import ann, bpe, chat, jaccard_join, mixing, quality, sharding, suffix_dedup, token_counts
+from millrace.llm import ann, bpe, chat, html_text, jaccard_join, mixing, quality, sharding, suffix_dedup, token_counts
 from millrace.llm.common import table
 
 # Vocabulary files on every machine; see their README for the formats.
@@ -182,7 +182,7 @@ def op8_sharding(spark, folder):
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     path = f"{TOKENIZERS}/word_bpe_49k.json"
-    return bpe.decode(bpe.encode(docs, path), path).select(
+    return bpe.decode(bpe.encode(docs, path).drop("text"), path).select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -210,3 +210,10 @@ def op2_suffix_array_dedup(spark, folder):
 def op7_nearest_neighbours(spark, folder):
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return ann.neighbours(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+@query()
+def op6_html_extraction(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.with_main_text(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
