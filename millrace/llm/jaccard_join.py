@@ -113,15 +113,18 @@ def _signer(partitions: int):
         signatures, nodes, held = [], [], 0
 
         def blocks():
-            s, n = np.concatenate(signatures), np.concatenate(nodes)
+            s = np.concatenate(signatures)
+            owner = np.repeat(np.arange(len(nodes)), [len(x) for x in signatures])
+            names = np.array(nodes, dtype=np.int64)
             home = (s >> np.uint64(32)) % np.uint64(partitions)
             order = np.argsort(home, kind="stable")
-            s, n, home = s[order].astype(np.uint32), n[order], home[order]
-            cuts = np.flatnonzero(np.diff(home)) + 1
-            yield pd.DataFrame({
-                "home": [int(home[i]) for i in [0, *cuts]],
-                "signatures": [x.tobytes() for x in np.split(s, cuts)],
-                "nodes": [x.tobytes() for x in np.split(n, cuts)]})
+            rows = []
+            for own in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
+                # signatures of a set stand together: its name once, with their number
+                first = np.flatnonzero(np.concatenate([[True], np.diff(owner[own]) != 0]))
+                rows.append((int(home[own[0]]), s[own].astype(np.uint32).tobytes(), names[owner[own][first]].tobytes(),
+                             np.diff(np.append(first, len(own))).astype(np.uint32).tobytes()))
+            yield pd.DataFrame(rows, columns=["home", "signatures", "nodes", "counts"])
 
         for frame in frames:
             for shingles in _sets(frame["text"]):
@@ -131,7 +134,7 @@ def _signer(partitions: int):
                 if len(seen) < 500_000:
                     seen.add(node)
                 signatures.append(signed)
-                nodes.append(np.full(len(signed), node, dtype=np.int64))
+                nodes.append(node)
                 held += len(signed)
             if held > 2_000_000:
                 yield from blocks()
@@ -145,6 +148,7 @@ def _buckets(frame: pd.DataFrame) -> pd.DataFrame:
     """The sets that share a signature, each list of sets once."""
     s = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in frame["signatures"]])
     n = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in frame["nodes"]])
+    n = np.repeat(n, np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in frame["counts"]]))
     order = np.lexsort((n, s))
     s, n = s[order], n[order]
     new = np.ones(len(s), dtype=bool)
@@ -258,7 +262,7 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     known = staged(texts.mapInPandas(_describe, f"doc {kind}, n_shingles long, node long, bins binary"), "shingled")
     nodes = known.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("bins").alias("bins"))
-    blocks = texts.select("text").mapInPandas(_signer(partitions), "home int, signatures binary, nodes binary")
+    blocks = texts.select("text").mapInPandas(_signer(partitions), "home int, signatures binary, nodes binary, counts binary")
     buckets = staged(blocks.groupBy("home").applyInPandas(_buckets, "nodes binary"), "buckets")
     stars = staged(buckets.mapInPandas(_stars, "a long, b long").distinct(), "stars")
 

@@ -142,6 +142,9 @@ def with_quality(docs: DataFrame, text: str = "text", into: str = "quality_repor
 
 def keep_good(docs: DataFrame, text: str = "text", **tables) -> DataFrame:
     """The rows that pass all rules, with the columns they came with."""
-    report = free_name(docs, "quality_report")
-    return with_quality(docs, text, report, **tables).filter(F.col(f"`{report}`.kept")).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    report, row = free_name(docs, "quality_report"), free_name(docs, "row__")
+    # an explode in place of a filter: a filter would be pushed below the counts, and
+    # would repeat each count's expression in every rule that uses it
+    kept = F.explode(F.when(F.col(f"`{report}`.kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
+    return with_quality(docs, text, report, **tables).select(
+        *[F.col(f"`{c}`") for c in docs.columns], kept.alias(row)).drop(row)
