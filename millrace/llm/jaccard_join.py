@@ -25,7 +25,6 @@ from millrace.llm.shingles import _Words, mixed, shingle_sets
 # Links need 100 * intersection >= SIMILAR * union; the bands hold for this value alone.
 SIMILAR = 80
 PARTS = 3
-BINS = 64
 BLOCK = 1024
 BROADCAST_IDS = 1_000_000
 
@@ -94,8 +93,16 @@ def _sets(texts) -> Iterator[np.ndarray]:
 
 
 def _counts(shingles: np.ndarray) -> bytes:
-    """Shingles in each of 64 ranges of hashes, 255 at most."""
-    return np.minimum(np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+    """Shingles in each of so many equal ranges of hashes that a few fall in each, 255 at most."""
+    bits = max(6, (len(shingles) // 4).bit_length())
+    found = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(found, 255).astype(np.uint8).tobytes()
+
+
+def _bins(counts: list[bytes]) -> np.ndarray:
+    """One row for each, over the ranges of the shortest: finer ones are added up."""
+    least = min(map(len, counts))
+    return np.stack([np.frombuffer(c, dtype=np.uint8).reshape(least, -1).sum(axis=1, dtype=np.int32) for c in counts])
 
 
 def _describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,27 +195,24 @@ def _similar(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([linked(a, b) for a, b in zip(left, right)], dtype=bool)
 
 
-def _bins(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, BINS).astype(np.int16)
-
-
 @F.pandas_udf(T.BooleanType())
 def _close(left: pd.Series, right: pd.Series, sizes: pd.Series) -> pd.Series:
     """False if the counts by range prove that two sets differ in more than a ninth of their sizes."""
-    return pd.Series(np.abs(_bins(left) - _bins(right)).sum(axis=1) * 9 <= sizes.to_numpy())
+    apart = [int(np.abs(np.subtract(*_bins([a, b]))).sum()) for a, b in zip(left, right)]
+    return pd.Series(np.array(apart, dtype=np.int64) * 9 <= sizes.to_numpy())
 
 
 def _left_over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of a bucket in two components that could still be linked.
 
-    Counts of shingles in 64 ranges differ by no more than the sets do, so pairs whose
+    Counts of shingles by range differ by no more than the sets do, so pairs whose
     counts differ by more than a ninth of their sizes are no link.
     """
     for frame in frames:
         found = set()
         for members in frame["members"]:
             node, label, size = (np.array([m[c] for m in members]) for c in ("node", "label", "n_shingles"))
-            bins = _bins(m["bins"] for m in members)
+            bins = _bins([m["bins"] for m in members])
             for i in range(len(node) - 1):
                 both = size[i + 1:] + size[i]
                 at = np.flatnonzero((label[i + 1:] != label[i]) & (np.abs(size[i + 1:] - size[i]) * 9 <= both)) + i + 1
