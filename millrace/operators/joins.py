@@ -22,8 +22,13 @@ def merge_kpis(*summaries: DataFrame) -> DataFrame:
     """One-row summaries side by side in one row.
 
     The rows are unioned and folded with one aggregate, so no product is
-    planned and the summaries are computed side by side in one job.
+    planned and the summaries are computed side by side in one job. A name that
+    two summaries use is an error: one of the two values would be lost.
     """
+    names = [c.lower() for s in summaries for c in s.columns]
+    repeated = sorted({n for n in names if names.count(n) > 1})
+    if repeated:
+        raise ValueError(f"summaries share the columns {repeated}")
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), summaries)
     return stacked.agg(*[F.any_value(c, F.lit(True)).alias(c) for c in stacked.columns])
 
@@ -84,7 +89,7 @@ def regional_report(df: DataFrame, regions: list[str], customers: str = "custome
     """
     per_region = df.groupBy("region").agg(
         F.sum(customers).cast("bigint").alias("customers"),
-        F.sum(revenue).cast("bigint").alias("revenue"),
+        F.floor(F.sum(revenue)).cast("bigint").alias("revenue"),
         F.max(currency).alias("currency"))
     filled = (_names(df.sparkSession, regions).join(per_region, "region", "left")
               .select("region",

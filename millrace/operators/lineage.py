@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from millrace.session import checkpoint
 
 
-def upstream(edges: DataFrame, max_depth: int = 100) -> DataFrame:
+def upstream(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """All inputs an asset depends on directly or not, with the least depth.
 
     Each round extends the pairs found last by one edge and drops pairs already
     known, so a cycle ends by itself. Rounds are checkpointed; only the test
-    whether anything is left comes back to the driver. A closure still growing
-    at ``max_depth`` is an error, not a shorter answer.
+    whether anything is left comes back to the driver. If ``max_depth`` is given,
+    a closure still growing there is an error, not a shorter answer.
     """
     step = checkpoint(edges.select("consumer", "dep").distinct())
     frontier = step.select(F.col("consumer").alias("asset"), F.col("dep").alias("upstream"))
@@ -36,7 +36,7 @@ def upstream(edges: DataFrame, max_depth: int = 100) -> DataFrame:
         if frontier.isEmpty():
             break
         depth += 1
-        if depth > max_depth:
+        if max_depth is not None and depth > max_depth:
             raise ValueError(f"lineage is deeper than {max_depth} levels")
         rounds.append(frontier.withColumn("depth", F.lit(depth)))
     return reduce(DataFrame.unionByName, rounds)

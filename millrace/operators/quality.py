@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import broadcast_if_small, checkpoint
+from millrace.session import checkpoint
 
 # How a check that never ran is reported.
 NOT_EVALUATED = "not evaluated (prior assert failed)"
@@ -210,8 +210,8 @@ def parse_check_logs(lines: DataFrame, specs: DataFrame, line: str = "line",
                .agg(F.min_by(spec, "ord").alias("_general")))
     named = F.col("_named.ord").isNotNull() & (
         F.col("_general.ord").isNull() | (F.col("_named.ord") <= F.col("_general.ord")))
-    results = (found.join(broadcast_if_small(by_column), [*task_key, "_column"], "left")
-               .join(broadcast_if_small(by_task), task_key, "left")
+    results = (found.join(by_column, [*task_key, "_column"], "left")
+               .join(by_task, task_key, "left")
                .filter(F.col("_named.ord").isNotNull() | F.col("_general.ord").isNotNull())
                .select(*task_key,
                        F.when(named, F.col("_named.check_type"))

@@ -43,19 +43,22 @@ def score_batches(df: DataFrame, load: Callable[[], Callable[..., pd.Series]],
 
 
 def train_churn(features: DataFrame, columns: list[str], path: str,
-                label: str = "churned") -> PipelineModel:
+                label: str = "churned", max_rounds: int = 200) -> PipelineModel:
     """Train the churn model and store it under ``path``; the stored model is returned.
 
     Logistic regression scales the features itself; the trainer is our choice.
     A model just trained still refers to its training data, the stored one does
     not, and later batches are scored with it by ``PipelineModel.load(path)``.
+    Training that has not converged after ``max_rounds`` is an error.
     """
     model = Pipeline(stages=[
         VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="error"),
-        LogisticRegression(featuresCol="_features", labelCol=label, maxIter=25,
+        LogisticRegression(featuresCol="_features", labelCol=label, maxIter=max_rounds,
                            probabilityCol="_probability", rawPredictionCol="_margin",
                            predictionCol="churn_predicted"),
     ]).fit(features.select(*columns, F.col(label).cast("double").alias(label)))
+    if model.stages[-1].summary.totalIterations >= max_rounds:
+        raise RuntimeError(f"the churn model did not converge in {max_rounds} rounds")
     model.write().overwrite().save(path)
     return PipelineModel.load(path)
 

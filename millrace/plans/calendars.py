@@ -138,17 +138,19 @@ def part_backfill(t):
 
 # ---- freshness
 
-# Schedules an asset has: by the types of event it had since the given day.
+# Schedules an asset has: by the types of its first and of its last event.
 SCHEDULES = [("click", 60, "2024-01-30 23:30:00"), ("view", 360, "2024-01-30 18:00:00"),
              ("purchase", 1440, "2024-01-30 06:00:00")]
-SCHEDULED_SINCE = "2024-01-29"
 V_SCHEDULES = f"""v_schedules AS (
   SELECT DISTINCT 'asset_' || user_id AS asset, ord, interval_minutes, last_deadline
-  FROM events JOIN (VALUES """ + ", ".join(
+  FROM (
+    SELECT user_id, event_type FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type) = 1
+         OR row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) = 1)
+  JOIN (VALUES """ + ", ".join(
     f"('{kind}', {i}, {minutes}, TIMESTAMP '{deadline}')"
-    for i, (kind, minutes, deadline) in enumerate(SCHEDULES)) + f""")
-    AS s(event_type, ord, interval_minutes, last_deadline) USING (event_type)
-  WHERE ts >= TIMESTAMP '{SCHEDULED_SINCE}')"""
+    for i, (kind, minutes, deadline) in enumerate(SCHEDULES)) + """)
+    AS s(event_type, ord, interval_minutes, last_deadline) USING (event_type))"""
 V_POLICIES = """v_policies AS (
   SELECT asset, interval_minutes, last_deadline FROM v_schedules
   QUALIFY row_number() OVER (PARTITION BY asset ORDER BY interval_minutes, ord) = 1)"""
@@ -161,7 +163,9 @@ def schedules(t):
             F.lit(i).alias("ord"), F.lit(minutes).alias("interval_minutes"),
             F.lit(deadline).cast("timestamp_ntz").alias("last_deadline")))
         for i, (name, minutes, deadline) in enumerate(SCHEDULES)])
-    return (t.events.filter(F.col("ts") >= F.lit(SCHEDULED_SINCE).cast("timestamp_ntz"))
+    when = F.struct("ts", "event_type")
+    ends = t.events.groupBy("user_id").agg(F.min(when).alias("first"), F.max(when).alias("last"))
+    return (ends.select("user_id", F.explode(F.array("first.event_type", "last.event_type")).alias("event_type"))
             .select(F.concat(F.lit("asset_"), "user_id").alias("asset"), pick.alias("s"))
             .filter("s is not null").select("asset", "s.*").distinct())
 

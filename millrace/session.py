@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _OWN_DIR = "spark.millrace.ownSharedDir"
 PARTITION_BYTES = 128 * 1024 * 1024
@@ -82,13 +81,3 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(_base_dir(spark))
     return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a side of a join for broadcast when it has at most ``max_rows`` rows.
-
-    The check stops counting beyond the bound. A larger frame comes back as it
-    is, and Spark shuffles it. For narrow rows whose size Spark cannot estimate.
-    """
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,9 @@ def run_partition(df: DataFrame, key_column: str, path: str, key: str | None = N
                   transform=None, ts: str | None = None) -> str:
     """Process one partition key and replace only it; return the key.
 
+    The folder of the key is overwritten as it is, so a rerun that yields no rows
+    leaves none, and no other partition is touched whatever ``transform`` returns.
+
     Without a key, the last period finished before ``now`` is used. The filter
     reaches the scan when the source is partitioned by the key. When the key is
     computed from a time, name that column as ``ts``: its range is filtered
@@ -99,7 +103,9 @@ def run_partition(df: DataFrame, key_column: str, path: str, key: str | None = N
     if ts:
         df = within(df, ts, *key_bounds(key, cadence, tz))
     rows = df.filter(F.col(key_column) == F.lit(key))
-    write_partition(transform(rows) if transform else rows, path, key_column)
+    done = transform(rows) if transform else rows
+    folder = f"{path.rstrip('/')}/{key_column}={quote(key, safe=' ')}"
+    done.drop(key_column).write.mode("overwrite").parquet(folder)
     return key
 
 

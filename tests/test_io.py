@@ -75,6 +75,9 @@ def test_one_partition_is_replaced(spark, tmp_path, rows):
     assert rows(stored, "v") == [(1, "2024-01-01"), (20, "2024-01-02"), (30, "2024-01-02")]
     with pytest.raises(ValueError):
         writers.run_partition(df, "date", path)
+    # a rerun without rows leaves none of that key, and all of the others
+    writers.run_partition(df, "date", path, "2024-01-02", transform=lambda d: d.filter("false"))
+    assert rows(spark.read.schema("v int, date string").parquet(path), "v") == [(1, "2024-01-01")]
 
 
 def test_routes_and_keys(spark, tmp_path):

@@ -8,7 +8,6 @@ from millrace.operators import aggregates as agg
 from millrace.operators import joins, partitions, quality, transforms, windows
 from millrace.plans import QUERIES
 from millrace.plans.tables import Tables, book
-from millrace.session import broadcast_if_small
 from millrace.sources import writers
 
 WRITES = {n for n in QUERIES if n.startswith(("sink_", "st_", "src_json_records", "lin_", "ml_"))} | {
@@ -93,18 +92,6 @@ def test_one_partition_is_all_that_is_read(spark, tmp_path, plan_of):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
-def test_broadcast_only_when_counted_small(spark, plan_of):
-    rows = spark.range(1000).withColumn("v", F.col("id") * 2)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        facts = spark.range(100)
-        assert "BroadcastHashJoin" in plan_of(facts.join(broadcast_if_small(rows, 1000), "id"))
-        assert "SortMergeJoin" in plan_of(facts.join(broadcast_if_small(rows, 999), "id"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
 def test_a_large_partition_is_split_when_writing(spark, tmp_path):
     """Two thirds of the rows are of one date: it gets several files, the others one each."""
     settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "40KB",
