@@ -93,8 +93,8 @@ def _sets(texts) -> Iterator[np.ndarray]:
 
 
 def _counts(shingles: np.ndarray) -> bytes:
-    """Shingles in each of so many equal ranges of hashes that a few fall in each, 255 at most."""
-    bits = max(6, (len(shingles) // 4).bit_length())
+    """Shingles in each of so many equal ranges of hashes that one at most falls in most of them, 255 at most."""
+    bits = max(6, len(shingles).bit_length())
     found = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(found, 255).astype(np.uint8).tobytes()
 
