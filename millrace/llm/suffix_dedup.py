@@ -47,23 +47,24 @@ def _over(pick, values: np.ndarray, span: int) -> np.ndarray:
 def _least_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """For each window of the text, the least hash of the grams in it.
 
-    And the hashes of grams that are least and stand twice within one window's reach:
-    such text repeats itself.
+    And the hashes of grams that are least and stand twice at most a window's grams apart,
+    so that no window between them lacks both: such text repeats itself.
     """
     powers, inverses, symbols = worker_memo(("gram powers",), _powers)
     found, again = [], []
     span = WINDOW - GRAM + 1
     for at in range(0, len(text) - WINDOW + 1, SLICE):
-        part = np.frombuffer(text, dtype=np.uint8)[at:at + SLICE + WINDOW - 1]
+        # one window more than the slice has, for grams that stand on both sides of its end
+        part = np.frombuffer(text, dtype=np.uint8)[at:at + SLICE + WINDOW]
         sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(symbols[part] * powers[:len(part)], dtype=np.uint64)])
         h = mixed((sums[GRAM:] - sums[:-GRAM]) * inverses[:len(sums) - GRAM])
         least = _over(np.minimum, h, span)
         # a gram is least in some window if the largest least hash around it is its own
         edge = np.zeros(span - 1, dtype=np.uint64)
         chosen = np.flatnonzero(_over(np.maximum, np.concatenate([edge, least, edge]), span) == h)
-        near = (h[chosen][1:] == h[chosen][:-1]) & (np.diff(chosen) < span)
+        near = (h[chosen][1:] == h[chosen][:-1]) & (np.diff(chosen) <= span)
         again.append(h[chosen][1:][near])
-        found.append(least)
+        found.append(least[:SLICE])
     return np.concatenate(found), np.concatenate(again)
 
 

@@ -110,6 +110,30 @@ def test_repeats_within_and_across_long_texts(spark):
         assert (sum(s.end - s.begin for s in r.removed), bytes(r.kept), len(r.removed)) == want[r.doc_id]
 
 
+def test_repeats_of_every_period(spark):
+    rng = random.Random(51)
+    letters = lambda n: "".join(rng.choices("abcdefghij klmnop", k=n))
+    rows = [(period * 10 + times, letters(rng.randrange(60)) + letters(period) * times + letters(rng.randrange(60)))
+            for period in range(1, 101) for times in range(3, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_repeats(rows)
+    for r in suffix_dedup.without_repeats(df).collect():
+        assert (sum(s.end - s.begin for s in r.removed), bytes(r.kept), len(r.removed)) == want[r.doc_id], r.doc_id
+
+
+def test_a_repeat_across_slices_is_seen(monkeypatch):
+    rng = random.Random(52)
+    suffix_dedup._least_hashes(b"x" * 200)  # the powers for whole slices
+    monkeypatch.setattr(suffix_dedup, "SLICE", 1024)
+    letters = lambda n: bytes(rng.choices(range(97, 123), k=n))
+    line = letters(51)
+    for before in range(1024 - 60, 1024 + 10):
+        h, starts, ends, again = suffix_dedup._stretches(letters(before) + (line * 3)[:151] + letters(900))
+        # windows that are equal lie 51 apart, in one stretch that must be marked
+        at = np.searchsorted(starts, [before, before + 51], side="right") - 1
+        assert at[0] != at[1] or again[at[0]], before
+
+
 @pytest.mark.parametrize("letters", [1, 2, 3, 200])
 def test_suffix_order(letters):
     rng = random.Random(letters)
