@@ -14,11 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import staged, worker_memo
+from millrace.llm.common import free_name, staged, worker_memo
 from millrace.llm.graph import components
 from millrace.llm.shingles import _Words, mixed, shingle_sets
 
@@ -105,12 +105,12 @@ def _bins(counts: list[bytes]) -> np.ndarray:
     return np.stack([np.frombuffer(c, dtype=np.uint8).reshape(least, -1).sum(axis=1, dtype=np.int32) for c in counts])
 
 
-def _describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        rows = [(len(s), set_id(s), _counts(s)) for s in _sets(frame["text"])]
-        yield pd.DataFrame({"doc": frame["doc"], "n_shingles": [n for n, _, _ in rows],
-                            "node": pd.array([i if n else None for n, i, _ in rows], dtype="Int64"),
-                            "bins": [b for _, _, b in rows]})
+@F.pandas_udf(T.StructType().add("n_shingles", T.LongType()).add("node", T.LongType()).add("bins", T.BinaryType()))
+def _described(texts: pd.Series) -> pd.DataFrame:
+    rows = [(len(s), set_id(s), _counts(s)) for s in _sets(texts)]
+    return pd.DataFrame({"n_shingles": [n for n, _, _ in rows],
+                         "node": pd.array([i if n else None for n, i, _ in rows], dtype="Int64"),
+                         "bins": [b for _, _, b in rows]})
 
 
 def _signer(partitions: int):
@@ -225,8 +225,8 @@ def _left_over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose sets pass the check; sets are made anew for those in pairs only."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    docs = staged(nodes.join(ends, "node").select("doc").distinct(), "in-pairs")
-    sets = staged(matching(texts, docs, "doc", "left_semi").mapInPandas(
+    rows = staged(nodes.join(ends, "node").select("row").distinct(), "in-pairs")
+    sets = staged(matching(texts, rows, "row", "left_semi").select("text").mapInPandas(
         _with_sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
@@ -243,29 +243,20 @@ def matching(docs: DataFrame, ids: DataFrame, column: str | list[str], how: str)
     return docs.join(F.broadcast(ids) if few else ids, column, how)
 
 
-def with_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) for each row.
+def _row(id_col: str, text: str):
+    """Id and text of a row as one value; a null id is a value too, a null text an empty one."""
+    return F.struct(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("version"))
 
-    A set holds the distinct five-word shingles of a text, A-Z lower-cased; with fewer
-    words, the whole sequence. Rows are linked when 100 * intersection >= 80 * union of
-    their sets; the component is the smallest id that links lead to. A text without
-    words, or null, has 0 shingles and stands alone. Equal sets (by a 64-bit hash of all
-    their shingles) are one node, however many rows have them. Repeated rows are in one
-    component; further columns are left out.
 
-    Sets sharing a signature form a bucket. Its first set is checked with each other one;
-    after that only pairs still in two components are looked at, and those that counts of
-    shingles by range cannot tell apart are checked. So no bucket is turned into all its
-    pairs, and no pair goes unseen.
-    """
+def _placed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(row, n_shingles, label) for each row: one label for each component, null without words."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text}`").alias("text"))
-    kind = texts.schema["doc"].dataType.simpleString()
+    texts = docs.select(_row(id_col, text).alias("row"), F.col(f"`{text}`").alias("text"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    known = staged(texts.mapInPandas(_describe, f"doc {kind}, n_shingles long, node long, bins binary"), "shingled")
+    known = staged(texts.withColumn("of", _described("text")).select("row", "of.*"), "shingled")
     nodes = known.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("bins").alias("bins"))
+        F.min("row").alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("bins").alias("bins"))
     blocks = texts.select("text").mapInPandas(_signer(partitions), "home int, signatures binary, nodes binary, counts binary")
     buckets = staged(blocks.groupBy("home").applyInPandas(_buckets, "nodes binary"), "buckets")
     stars = staged(buckets.mapInPandas(_stars, "a long, b long").distinct(), "stars")
@@ -289,8 +280,27 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     if not untried.isEmpty():
         labels = components(links.union(_linked(untried, nodes, texts)))
 
-    placed = known.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    first = placed.filter("node IS NOT NULL").groupBy("label").agg(F.min("doc").alias("first"))
+    return known.join(labels, "node", "left").select("row", "n_shingles", F.coalesce("label", "node").alias("label"))
+
+
+def with_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) for each row.
+
+    A set holds the distinct five-word shingles of a text, A-Z lower-cased; with fewer
+    words, the whole sequence. Rows are linked when 100 * intersection >= 80 * union of
+    their sets; the component is the smallest id that links lead to. A text without
+    words, or null, has 0 shingles and stands alone. Equal sets (by a 64-bit hash of all
+    their shingles) are one node, however many rows have them. Repeated rows are in one
+    component; further columns are left out. A null id stands after all others, so
+    component_id is null only where links lead to no id.
+
+    Sets sharing a signature form a bucket. Its first set is checked with each other one;
+    after that only pairs still in two components are looked at, and those that counts of
+    shingles by range cannot tell apart are checked. So no bucket is turned into all its
+    pairs, and no pair goes unseen.
+    """
+    placed = _placed(docs, id_col, text).select("row.doc", "n_shingles", "label")
+    first = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc").alias("first"))
     return placed.join(first, "label", "left").select(
         F.col("doc").alias(id_col), "n_shingles", F.coalesce("first", "doc").alias("component_id"))
 
@@ -303,7 +313,24 @@ def _members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document of the smallest id of each component, with the columns it came with."""
-    placed = with_components(docs, id_col, text)
-    gone = placed.filter(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    return matching(docs, staged(gone, "near-copies"), id_col, "left_anti")
+    """One row of each component, that of the smallest id, with the columns it came with.
+
+    A null id stands after all others. Of rows with one id the smallest hash of the text
+    stays, and of rows with one id and text the smallest hash of the row. Texts without
+    words stand alone; only rows repeated with the same id and text are one.
+    """
+    rows = staged(_placed(docs, id_col, text).groupBy("row").agg(
+        F.first("label").alias("label"), F.count(F.lit(1)).alias("n")), "placed")
+    order = F.struct(F.col("row.doc").isNull().alias("last"), "row")
+    first = rows.filter("label IS NOT NULL").groupBy("label").agg(F.min(order).alias("first"))
+    listed = staged(rows.join(first, "label", "left").select(
+        "row", "n", (F.col("label").isNotNull() & (F.col("first.row") != F.col("row"))).alias("gone"))
+        .filter("gone OR n > 1"), "near-copies")
+    row, nth = free_name(docs, "row__"), free_name(docs, "nth__")
+    keyed = docs.withColumn(row, _row(id_col, text))
+    ids = listed.select(F.col("row").alias(row), "gone")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = matching(keyed, ids.select(row), row, "left_anti").select(*columns)
+    repeated = matching(keyed, ids.filter("NOT gone").select(row), row, "left_semi").withColumn(
+        nth, F.row_number().over(Window.partitionBy(row).orderBy(F.xxhash64(F.to_json(F.struct(*columns))))))
+    return single.unionByName(repeated.filter(F.col(nth) == 1).select(*columns))

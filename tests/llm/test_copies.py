@@ -60,6 +60,27 @@ def test_components_of_documents(docs):
     assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in want.items() if i == c}
 
 
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(9)
+    line = lambda: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(60))
+    a, b, c, d, e, f = (line() for _ in range(6))
+    big = 2 ** 53 + 1
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "x"), (2, a + " more", "x"),  # repeated, with a near copy
+            (None, b, "x"), (None, b, "x"), (None, b + " more", "x"),  # only null ids
+            (None, c + " more", "x"), (big, c, "x"),  # a set of null ids only, linked to an id
+            (4, d, "x"), (4, e, "x"), (4, a + " other", "x"),  # one id, three texts, one of them near to another id
+            (5, f, "x"), (5, f, "y"),
+            (6, "", "x"), (6, None, "x"), (7, "", "x"), (None, " ", "x"), (None, " ", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, further string").repartition(3)
+    got = [(r.doc_id, r.component_id) for r in jaccard_join.with_components(df).collect()]
+    want = [(1, 1)] * 3 + [(2, 1), (4, 1), (4, 4), (4, 4), (None, big), (big, big)] + [(None, None)] * 5 + [
+        (5, 5), (5, 5), (6, 6), (6, 6), (7, 7)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    kept = jaccard_join.keep_one(df).collect()
+    texts = [(r.doc_id, (r.text or "").removesuffix(" more")) for r in kept]
+    assert sorted(texts, key=str) == sorted([(1, a), (None, b), (big, c), (4, d), (4, e), (5, f), (6, ""), (7, ""), (None, " ")], key=str)
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(3)
     bands = jaccard_join.Bands()
@@ -164,6 +185,8 @@ def test_pipeline(spark, docs):
     apart = stages["near_copies"](spark, good, "")
     left = brute_components([(r.doc_id, r.text) for r in good.collect()])
     assert {r.doc_id for r in apart.collect()} == {i for i, (_, c) in left.items() if i == c}
+    assert apart.count() == sum(i == c for i, (_, c) in left.items())
+    assert stages["near_copies"](spark, good.union(good), "").count() == apart.count()
     cut = stages["repeated_passages"](spark, apart, "")
     want = brute_repeats([(r.doc_id, r.text) for r in apart.collect()])
     assert {r.doc_id: r.text for r in cut.collect()} == {i: k.decode("utf-8", "ignore") for i, (_, k, _) in want.items()}
