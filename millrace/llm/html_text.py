@@ -27,6 +27,9 @@ BLOCKS = frozenset(
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary "
     "table tbody td tfoot th thead title tr ul".split())
 HIDDEN = frozenset("script style noscript template head title textarea svg iframe object button select".split())
+# What can stand in a head, and hidden elements that end at a block if their end tag is missing.
+IN_HEAD = frozenset("base head html link meta noscript script style template title".split())
+LOOSE = frozenset("button noscript object select svg".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Tags whose blocks serve as examples, where the page has them.
 CONTENT, OTHER = frozenset(("article", "main")), frozenset("nav header footer aside form menu dialog".split())
@@ -47,12 +50,17 @@ class Block:
 
 
 class _Leaves(HTMLParser):
-    """Blocks of a page in order; tolerant of tags that are not closed."""
+    """Blocks of a page in order; tolerant of tags that are not closed.
 
-    def __init__(self):
+    ``unended`` are the start tags, by number, of hidden elements known to lack an end tag;
+    ``missed`` are those found to lack it.
+    """
+
+    def __init__(self, unended: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
+        self.unended, self.missed, self.count = unended, set(), 0
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.open: list[tuple[str, tuple[str, ...], int]] = []
         self.hidden = 0
         self.linked = 0
         self.pieces: list[str] = []
@@ -66,9 +74,22 @@ class _Leaves(HTMLParser):
                 self.blocks.append(Block(text, self.path, min(self.link_chars, len(text))))
         self.pieces, self.path, self.link_chars = [], None, 0
 
+    def _end_head(self, tag: str | None):
+        """A body ends a head that is open; other content does so unless it stands in a hidden element there."""
+        at = next((i for i, (name, _, _) in enumerate(self.open) if name == "head"), None)
+        inside = {name for name, _, _ in self.open[at + 1:]} if at is not None else HIDDEN
+        if "template" not in inside and (tag == "body" or not inside & HIDDEN):
+            self._close(at)
+
     def handle_starttag(self, tag, attrs):
+        if self.hidden and tag not in IN_HEAD:
+            self._end_head(tag)
         if tag in BLOCKS:
             self.flush()
+            for i, (name, _, nth) in enumerate(self.open) if self.unended else ():
+                if nth in self.unended and not (name == "select" and tag in ("option", "hr")):
+                    self._close(i)
+                    break
         if tag == "br":
             self.pieces.append("\n")
         if tag in VOID:
@@ -87,7 +108,8 @@ class _Leaves(HTMLParser):
         for name, value in attrs:
             if name in ("class", "id", "role", "itemprop") and value:
                 words += [f".{w}" for w in "".join(c if c.isalnum() else " " for c in value.lower()).split()[:6]]
-        self.open.append((tag, tuple(words)))
+        self.count += 1
+        self.open.append((tag, tuple(words), self.count))
         self.hidden += tag in HIDDEN
         self.linked += tag == "a"
 
@@ -96,8 +118,9 @@ class _Leaves(HTMLParser):
         if tag not in VOID:
             self.handle_endtag(tag)
 
-    def _close(self, at: int):
-        for tag, _ in self.open[at:]:
+    def _close(self, at: int, ended: bool = False):
+        self.missed.update(nth for tag, _, nth in self.open[at + ended:] if tag in LOOSE)
+        for tag, _, _ in self.open[at:]:
             self.hidden -= tag in HIDDEN
             self.linked -= tag == "a"
         del self.open[at:]
@@ -107,28 +130,42 @@ class _Leaves(HTMLParser):
             self.flush()
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
-                self._close(i)
+                self._close(i, ended=True)
                 return
             # an inline end tag does not reach out of its block
             if tag not in BLOCKS and self.open[i][0] in BLOCKS:
                 return
 
     def handle_data(self, data):
+        if self.hidden and self.open[-1][0] == "head" and not data.isspace():
+            self._end_head(None)
         if self.hidden:
             return
         self.pieces.append(data)
         if self.path is None and not data.isspace():
-            self.path = tuple(word for _, words in self.open for word in words)
+            self.path = tuple(word for _, words, _ in self.open for word in words)
         if self.linked:
             self.link_chars += len(data.strip())
 
 
-def blocks_of(html: str | None) -> list[Block]:
-    """Blocks in page order: character references decoded, white space made one space."""
-    parser = _Leaves()
-    parser.feed(html or "")
+def _parsed(html: str, unended: frozenset[int] = frozenset()) -> _Leaves:
+    parser = _Leaves(unended)
+    parser.feed(html)
     parser.close()
     parser.flush()
+    parser._close(0)
+    return parser
+
+
+def blocks_of(html: str | None) -> list[Block]:
+    """Blocks in page order: character references decoded, white space made one space.
+
+    A head without end tag ends where the body begins. A page with hidden elements that
+    are never ended is read again, and those end at the next block.
+    """
+    parser = _parsed(html or "")
+    if parser.missed:
+        parser = _parsed(html, frozenset(parser.missed))
     return parser.blocks
 
 

@@ -101,3 +101,17 @@ def test_native_plan(spark, data, plan_of):
     from millrace.llm.queries import QUERIES
     assert "Python" not in plan_of(QUERIES["op10_chat_formatting"](spark, data))
     assert "Python" not in plan_of(QUERIES["op1_quality_rules"](spark, data))
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ("<html><head><title>x</title><body><p>One<p>Two", ["One", "Two"]),
+    ("<head><meta charset=utf-8><title>x</title><div>One</div>", ["One"]),
+    ("<head><title>x</title>One<p>Two", ["One", "Two"]),
+    ("<head><noscript><div>no</div></noscript><title>x</title></head><p>One</p>", ["One"]),
+    ("<head><template><p>no</p></template><body><p>One</p>", ["One"]),
+    ("<body><button>no<p>One</p><p>Two</p></body>", ["One", "Two"]),
+    ("<body><div><select><option>no<option>no<p>One</div><p>Two", ["One", "Two"]),
+    ("<body><object data=x>no<p>One</p><svg><path d=m><p>Two</p><button>no</button>", ["One", "Two"]),
+    ("<body><button><div>no</div></button><object><p>no</p></object><p>One</p>", ["One"])])
+def test_end_tags_left_out(html, want):
+    assert [b.text for b in html_text.blocks_of(html)] == want
