@@ -2,7 +2,7 @@
 
 Each query runs its stream until everything that has arrived is processed and
 reads back what was written. Windows still open at the end are not written, so
-the SQL leaves them out too.
+the SQL leaves them out too. Rows behind the watermark end the query with an error.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def st_order_book(t):
     path = shared_dir(t.spark, "violations")
     book = streams.event_time(as_book(_stream(t, "lineitem")))
     found = streams.order_book_stream(book, 0.05, 100)
-    streams.land(found, path, shared_dir(t.spark, "progress"))
+    streams.land(found, path, shared_dir(t.spark, "progress"), strict=True)
     stored = t.spark.read.schema(found.schema).parquet(path)
     return rounded(stored.withColumn("window_start", text_time("window_start")))
 
@@ -54,7 +54,7 @@ def st_asset_trigger(t):
         F.concat(F.lit("asset_"), "customer_id").alias("asset"),
         F.concat(F.lit("refresh_"), "customer_id").alias("job"))
     triggered = streams.trigger_stream(log, watch)
-    streams.land(triggered, path, shared_dir(t.spark, "progress"))
+    streams.land(triggered, path, shared_dir(t.spark, "progress"), strict=True)
     stored = t.spark.read.schema(triggered.schema).parquet(path)
     return stored.withColumn("ts", text_time("ts"))
 
@@ -82,7 +82,8 @@ GROUP BY date_trunc('day', ts)""")
 def st_alerts(t):
     path = shared_dir(t.spark, "alerts")
     completed = streams.windowed_totals(streams.event_time(_stream(t, "events")))
-    streams.alert_stream(completed, path, shared_dir(t.spark, "progress"), "daily_totals")
+    streams.alert_stream(completed, path, shared_dir(t.spark, "progress"), "daily_totals",
+                         strict=True)
     stored = t.spark.read.schema(completed.schema).parquet(path)
     return rounded(stored.select(*completed.columns)
                    .withColumn("window_start", text_time("window_start")))

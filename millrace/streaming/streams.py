@@ -74,13 +74,40 @@ def ingest_stream(src: DataFrame, path: str, checkpoint_dir: str) -> None:
     land(with_hour(src), path, checkpoint_dir, "date", "hour")
 
 
-def land(df: DataFrame, path: str, checkpoint_dir: str, *partitions: str) -> None:
-    """Append what has arrived to Parquet, exactly once, and stop."""
+class LateRows(RuntimeError):
+    """Rows came behind the watermark and are missing from what was written."""
+
+
+def _run_out(query, strict: bool) -> int:
+    """Wait for a query and count the rows its state dropped as too late.
+
+    An aggregate combines rows first, so there the count can be below that of the input
+    rows; it is 0 only if none was dropped. Spark keeps the progress of a hundred batches,
+    so it is looked at while the query runs.
+    """
+    dropped: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(1)
+        for progress in query.recentProgress:
+            late = sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
+            dropped[progress.batchId] = max(late, dropped.get(progress.batchId, 0))
+    if strict and sum(dropped.values()):
+        raise LateRows(f"{sum(dropped.values())} rows of the state came behind the watermark and are not in the result")
+    return sum(dropped.values())
+
+
+def land(df: DataFrame, path: str, checkpoint_dir: str, *partitions: str, strict: bool = False) -> int:
+    """Append what has arrived to Parquet, exactly once, and stop.
+
+    Returns how many rows were dropped behind the watermark; ``strict`` raises ``LateRows``
+    if there are any. What was written until then stays.
+    """
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True))
     if partitions:
         writer = writer.partitionBy(*partitions)
-    writer.start(path).awaitTermination()
+    return _run_out(writer.start(path), strict)
 
 
 def windowed_totals(events: DataFrame, delay: str = "10 minutes",
@@ -92,16 +119,19 @@ def windowed_totals(events: DataFrame, delay: str = "10 minutes",
             .select(F.col("window.start").alias("window_start"), "records", "sum", "average"))
 
 
-def alert_stream(completed: DataFrame, path: str, checkpoint_dir: str, name: str) -> None:
+def alert_stream(completed: DataFrame, path: str, checkpoint_dir: str, name: str,
+                 strict: bool = False) -> int:
     """Write an alert row for every aggregate that completes.
 
-    A batch that is run again after a failure replaces its own rows, because
-    alerts are partitioned by stream name and batch id.
+    A window that is written again, after a failure or by a stream without memory of the
+    first, replaces its own row, because alerts are partitioned by stream name and window.
+    Late rows are counted and ``strict`` holds as in ``land``.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumns({"average": printed_round(F.col("average"), 2),
-                                  "stream": F.lit(name), "batch_id": F.lit(batch_id)})
-        write_partition(rows, path, "stream", "batch_id")
-    (completed.writeStream.foreachBatch(write).outputMode("append")
-     .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True)
-     .start().awaitTermination())
+                                  "stream": F.lit(name), "batch_id": F.lit(batch_id),
+                                  "window": F.date_format("window_start", "yyyy-MM-dd'T'HH-mm-ss")})
+        write_partition(rows, path, "stream", "window")
+    return _run_out(completed.writeStream.foreachBatch(write).outputMode("append")
+                    .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True)
+                    .start(), strict)

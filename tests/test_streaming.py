@@ -103,6 +103,44 @@ def test_alerts_are_not_doubled(spark, tmp_path, rows):
     assert got == [(START, 3, 0.375, 0.12, "daily"), (START + timedelta(days=1), 3, 0.75, 0.25, "daily")]
 
 
+def test_alerts_of_another_run_stay(spark, tmp_path, rows):
+    out = str(tmp_path / "out")
+    for run, first in (("one", 0), ("two", 10), ("three", 10)):
+        source = tmp_path / run
+        arrive(spark, source, [("a", day, START + timedelta(days=first + day), True, 1.0) for day in range(3)], EVENTS)
+        totals = streams.windowed_totals(streams.read_stream(spark, str(source), EVENTS))
+        streams.alert_stream(totals, out, str(tmp_path / f"progress-{run}"), "daily")
+    got = rows(spark.read.parquet(out).select("window_start", "records"), "window_start")
+    assert got == [(START + timedelta(days=day), 1) for day in (0, 10)]
+
+
+@pytest.mark.parametrize("kind", ["order_book", "trigger", "alerts"])
+def test_late_rows_are_not_dropped_silently(spark, tmp_path, kind):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+
+    def run(progress, per_batch, strict):
+        progress = str(tmp_path / progress)
+        if kind == "order_book":
+            book = streams.read_stream(spark, str(source), BOOK, files_per_batch=per_batch)
+            return streams.land(streams.order_book_stream(book), out + progress[-1], progress, strict=strict)
+        events = streams.read_stream(spark, str(source), EVENTS, files_per_batch=per_batch)
+        if kind == "trigger":
+            watch = spark.createDataFrame([("a", "job_a")], "asset string, job string")
+            return streams.land(streams.trigger_stream(events, watch), out + progress[-1], progress, strict=strict)
+        return streams.alert_stream(streams.windowed_totals(events), out + progress[-1], progress, "daily", strict=strict)
+
+    for i, day in enumerate((0, 5, 9, 1)):
+        at = START + timedelta(days=day)
+        if kind == "order_book":
+            arrive(spark, source, [("m", i, at, 0.5, 0.5, 1)], BOOK)
+        else:
+            arrive(spark, source, [("a", i, at, True, 1.0)], EVENTS)
+    assert run("progress-1", None, True) == 0
+    assert run("progress-2", 1, False) == 1
+    with pytest.raises(streams.LateRows):
+        run("progress-3", 1, True)
+
+
 def test_a_watermark_needs_a_cast(spark, tmp_path):
     arrive(spark, tmp_path / "in", [(datetime(2024, 1, 1), 1.0)], "ts timestamp_ntz, value double")
     raw = streams.read_stream(spark, str(tmp_path / "in"), "ts timestamp_ntz, value double")
