@@ -147,6 +147,7 @@ def op10_chat_formatting(spark, folder):
 
 @query()
 def op4_token_counts(spark, folder):
+    """The file is a BPE model; its pieces and scores are read as a unigram vocabulary."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return token_counts.with_token_count(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select("doc_id", "n_tokens")
 

@@ -21,7 +21,12 @@ WHITE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u200
 
 
 def read_vocabulary(path: str) -> list[tuple[str, float]]:
-    """(piece, score) by id, from a sentencepiece model file."""
+    """(piece, score) by id, from a sentencepiece model file, whatever its kind.
+
+    Counts made with the scores of a BPE model are those of a unigram model of the same
+    list, not of the file's own tokenizer. Control and byte pieces are in the list too and
+    match as plain text.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
