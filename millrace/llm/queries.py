@@ -8,11 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm import ann, bpe, chat, html_text, jaccard_join, mixing, quality, sharding, suffix_dedup, token_counts
+from millrace.llm import (ann, bpe, chat, clustering, hard_negatives, html_text, jaccard_join, mixing, quality,
+                          sentencepiece_bpe, sharding, suffix_dedup, token_counts)
 from millrace.llm.common import table
 
-# Vocabulary files on every machine; see their README for the formats.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
+def tokenizer(name: str) -> str:
+    """A vocabulary file, in a folder that every machine has; see its README for the formats."""
+    if folder := os.environ.get("TOKENIZER_DIR"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 SLOTS = 6421
 
@@ -149,7 +158,7 @@ def op10_chat_formatting(spark, folder):
 def op4_token_counts(spark, folder):
     """The file is a BPE model; its pieces and scores are read as a unigram vocabulary."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return token_counts.with_token_count(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select("doc_id", "n_tokens")
+    return token_counts.with_token_count(docs, tokenizer("piece_bpe_32k.model")).select("doc_id", "n_tokens")
 
 
 @query(f"""
@@ -182,7 +191,7 @@ def op8_sharding(spark, folder):
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    path = tokenizer("word_bpe_49k.json")
     return bpe.decode(bpe.encode(docs, path).drop("text"), path).select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -218,3 +227,76 @@ def op6_html_extraction(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return html_text.with_main_text(pages).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op11_sentencepiece(spark, folder):
+    """``as_library`` says whether the sentencepiece library gave the same ids."""
+    path = tokenizer("piece_bpe_32k.model")
+    encoded = sentencepiece_bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path, check="as_library")
+    return sentencepiece_bpe.decode(encoded.drop("text"), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), "as_library")
+
+
+def _clusters_sql(k: int, rounds: int) -> str:
+    """One assignment and one move of the centroids as steps for each round."""
+    steps = [f"""
+kept AS (
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v AS m FROM kept
+  QUALIFY c < {k})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} AS (
+  SELECT rid, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': d, 'c': c}}) AS best
+  FROM (SELECT kept.*, c, list_sum(list_transform(list_zip(v, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM kept, c{n})
+  GROUP BY rid)""")
+        if n < rounds:
+            steps.append(f"""
+m{n} AS (
+  SELECT c, list((total - ((total % n) + n) % n) // n ORDER BY j) AS m
+  FROM (SELECT c, j, sum(x)::BIGINT AS total, count(*) AS n
+        FROM (SELECT best.c AS c, unnest(v) AS x, unnest(range(64)) AS j FROM a{n}) GROUP BY c, j)
+  GROUP BY c),
+c{n + 1} AS (SELECT c{n}.c, coalesce(m{n}.m, c{n}.m) AS m FROM c{n} LEFT JOIN m{n} USING (c))""")
+    return "WITH" + ",".join(steps) + f"""
+SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance,
+       sum(best.d) OVER (PARTITION BY best.c)::BIGINT AS cluster_inertia, sum(best.d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON best.c = c{rounds}.c"""
+
+
+@query(_clusters_sql(16, 3))
+def op12_centroid_clustering(spark, folder):
+    return clustering.clusters(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+@query("""
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+     AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5""")
+def op13_hard_negatives(spark, folder):
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", turned.alias("label"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)

@@ -9,7 +9,7 @@ from millrace.llm.queries import QUERIES, SQL
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_as_sql(spark, data, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{data}/{table}.parquet')")
     want = con.execute(SQL[name])
     columns = [d[0] for d in want.description]
