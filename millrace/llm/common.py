@@ -40,14 +40,19 @@ def bind(value: Column, use) -> Column:
 
 
 def worker_memo(key: tuple, make):
-    """One object per Python worker, kept from task to task: a vocabulary, a bounded memo."""
+    """One object in a Python worker, kept from task to task: a vocabulary, a bounded memo.
+
+    Workers live on from stage to stage, so the object of another key takes the place of the
+    last one. A function asks for one key only.
+    """
     import sys
     import types
 
     kept = sys.modules.setdefault("_millrace_worker_memo", types.ModuleType("_millrace_worker_memo")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    if kept.get("key") != key:
+        kept.pop("made", None)
+        kept["made"], kept["key"] = make(), key
+    return kept["made"]
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
