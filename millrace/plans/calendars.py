@@ -136,6 +136,49 @@ def part_backfill(t):
         calendar.select("event_type", "partition_key"), existing, "event_type", "partition_key")
 
 
+@query("part_backfill_ranges", """
+, flags AS (
+  SELECT event_type, h, EXISTS (SELECT 1 FROM events e WHERE e.event_type = types.event_type
+                                AND date_trunc('hour', e.ts) = h) AS there
+  FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00', INTERVAL 1 HOUR)) AS h),
+       (SELECT DISTINCT event_type FROM events) AS types),
+runs AS (
+  SELECT *, count(*) FILTER (WHERE there) OVER (PARTITION BY event_type ORDER BY h) AS run FROM flags)
+SELECT event_type, strftime(min(h), '%Y-%m-%d-%H:%M') AS first_key, strftime(max(h), '%Y-%m-%d-%H:%M') AS last_key,
+       count(*) AS periods
+FROM runs WHERE NOT there GROUP BY event_type, run""", ("own AS (SELECT 1)",))
+def part_backfill_ranges(t):
+    """The missing hours as ranges to run again."""
+    bounds = t.events.select("event_type").distinct().withColumns({
+        "lo": F.lit("2024-01-01").cast("timestamp_ntz"), "hi": F.lit(NOW).cast("timestamp_ntz")})
+    calendar = partitions.partition_calendar(bounds, "lo", "hi", "hourly")
+    existing = assign_partition(t.events.select("event_type", "ts"), "ts", "hourly")
+    return partitions.missing_ranges(calendar, existing, "event_type", "partition_key")
+
+
+# Minutes that the clocks of zones without clock changes are ahead of UTC.
+AHEAD = {"Asia/Kolkata": 330, "Asia/Kathmandu": 345}
+
+
+@query("part_zones", "\nUNION ALL\n".join(f"""
+SELECT '{tz}' AS zone, strftime(date_trunc('hour', ts + INTERVAL {m} MINUTE), '%Y%m%d %H') AS partition_key,
+       strftime(date_trunc('hour', ts + INTERVAL {m} MINUTE) - INTERVAL {m} MINUTE, '%Y-%m-%d %H:%M:%S') AS period_start,
+       count(*) AS events
+FROM events GROUP BY ALL""" for tz, m in AHEAD.items()))
+def part_zones(t):
+    """Events per hour by clocks off the full hour, each joined to its period of the calendar."""
+    edge = t.events.agg((F.min("ts") - F.expr("INTERVAL 2 HOURS")).alias("lo"),
+                        (F.max("ts") + F.expr("INTERVAL 2 HOURS")).alias("hi"))
+    found = []
+    for tz in AHEAD:
+        periods = partitions.partition_calendar(edge, "lo", "hi", "hourly", tz, "%Y%m%d %H")
+        keyed = assign_partition(t.events.select("ts"), "ts", "hourly", tz, "%Y%m%d %H").groupBy("partition_key").agg(
+            F.count(F.lit(1)).alias("events"))
+        found.append(keyed.join(periods, "partition_key").select(
+            F.lit(tz).alias("zone"), "partition_key", text_time("period_start").alias("period_start"), "events"))
+    return reduce(DataFrame.unionByName, found)
+
+
 # ---- freshness
 
 # Schedules an asset has: by the types of its first and of its last event.

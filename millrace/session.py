@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN_DIR = "spark.millrace.ownSharedDir"
 PARTITION_BYTES = 128 * 1024 * 1024
@@ -74,6 +75,31 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{_base_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete files or folders with all they hold; what is not there is no error."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def folders_of(rows: DataFrame) -> list[str]:
+    """The folders that hold the files of a frame read from a partitioned table.
+
+    Only paths come to the driver, one for each folder. Columns other than those of the
+    partitions are not read.
+    """
+    spark = rows.sparkSession
+    files = rows.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")).distinct().collect()
+    # file paths are given as URIs, with characters escaped
+    return [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(r["folder"])).toString() for r in files]
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, which survives lost executors."""
     spark = df.sparkSession

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime
-from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.periods import key_bounds, last_finished_key
+from millrace.session import exists, folders_of, remove
 
 # The output formats that can be asked for.
 OUTPUT_FORMATS = ("json", "csv", "xml")
@@ -83,29 +84,53 @@ def within(df: DataFrame, ts: str, start: datetime, end: datetime) -> DataFrame:
                      & (F.col(ts) < F.lit(end.isoformat(" ")).cast(kind)))
 
 
-def run_partition(df: DataFrame, key_column: str, path: str, key: str | None = None,
+class _NoKey:
+    """Stands for the partition of rows whose key is null."""
+
+
+NULL_KEY = _NoKey()
+
+
+def replace_partition(rows: DataFrame, path: str, column: str, key: str | _NoKey) -> int:
+    """Make ``rows`` the whole content of one partition; return how many there are.
+
+    Folders are named by Spark. Rows replace their folder by a dynamic overwrite, which
+    keeps what was there until they are written. Without rows, the folder that Spark lists
+    for the key is deleted. An empty key is an error, because Spark stores it as null.
+    """
+    if key == "":
+        raise ValueError("an empty partition key would be stored as null; name it NULL_KEY")
+    spark, seen = rows.sparkSession, Observation()
+    value = F.lit(None if key is NULL_KEY else key).cast("string")
+    write_partition(rows.drop(column).observe(seen, F.count(F.lit(1)).alias("rows")).withColumn(column, value), path, column)
+    written = seen.get["rows"]
+    if not written and exists(spark, path):
+        stored = spark.read.schema(T.StructType([T.StructField(column, T.StringType())])).parquet(path)
+        remove(spark, *folders_of(stored.filter(F.col(f"`{column}`").eqNullSafe(value))))
+    return written
+
+
+def run_partition(df: DataFrame, key_column: str, path: str, key: str | _NoKey | None = None,
                   now: datetime | None = None, cadence: str = "daily", tz: str = "UTC",
-                  transform=None, ts: str | None = None) -> str:
+                  transform=None, ts: str | None = None, fmt: str | None = None) -> str | _NoKey:
     """Process one partition key and replace only it; return the key.
 
-    The folder of the key is overwritten as it is, so a rerun that yields no rows
-    leaves none, and no other partition is touched whatever ``transform`` returns.
+    A rerun that yields no rows leaves none, and no other partition is touched whatever
+    ``transform`` returns. ``NULL_KEY`` runs the rows without a key.
 
-    Without a key, the last period finished before ``now`` is used. The filter
-    reaches the scan when the source is partitioned by the key. When the key is
-    computed from a time, name that column as ``ts``: its range is filtered
-    too, which skips the files and row groups of other periods.
+    Without a key, the last period finished before ``now`` is used, written in the format
+    of ``fmt`` if given. The filter reaches the scan when the source is partitioned by the
+    key. When the key is computed from a time, name that column as ``ts``: its range is
+    filtered too, which skips the files and row groups of other periods.
     """
     if key is None:
         if now is None:
             raise ValueError("give a key, or the time to take the last finished period of")
-        key = last_finished_key(now, cadence, tz)
+        key = last_finished_key(now, cadence, tz, fmt)
     if ts:
-        df = within(df, ts, *key_bounds(key, cadence, tz))
-    rows = df.filter(F.col(key_column) == F.lit(key))
-    done = transform(rows) if transform else rows
-    folder = f"{path.rstrip('/')}/{key_column}={quote(key, safe=' ')}"
-    done.drop(key_column).write.mode("overwrite").parquet(folder)
+        df = within(df, ts, *key_bounds(key, cadence, tz, fmt))
+    rows = df.filter(F.col(f"`{key_column}`").isNull() if key is NULL_KEY else F.col(f"`{key_column}`") == F.lit(key))
+    replace_partition(transform(rows) if transform else rows, path, key_column, key)
     return key
 
 

@@ -80,6 +80,40 @@ def test_one_partition_is_replaced(spark, tmp_path, rows):
     assert rows(spark.read.schema("v int, date string").parquet(path), "v") == [(1, "2024-01-01")]
 
 
+KEYS = [chr(c) for c in range(32, 127)] + ["é", "日本", "a b", " a", "a+b", "a%2Bb", "a/b", "x=y", "..", "__HIVE__", "NULL", "01"]
+
+
+def test_any_key_is_replaced_exactly(spark, tmp_path):
+    """Two rows for each key, and for none; reruns to one row, then to none."""
+    path, schema = str(tmp_path / "t"), "v int, k string"
+    df = spark.createDataFrame([(i, k) for k in [*KEYS, None] for i in range(2)], schema).coalesce(1)
+    writers.write_partition(df, path, "k")
+    for i, key in enumerate(["a+b", "%", "é", ",", "&", "'", '"', " ", "a/b", "1", writers.NULL_KEY]):
+        assert writers.run_partition(df, "k", path, key, transform=lambda d: d.filter("v = 0")) is key
+        stored = spark.read.schema(schema).parquet(path)
+        own = F.col("k").isNull() if key is writers.NULL_KEY else F.col("k") == key
+        assert stored.filter(own).count() == 1
+        writers.run_partition(df, "k", path, key, transform=lambda d: d.filter("false"))
+        stored = spark.read.schema(schema).parquet(path)
+        assert stored.filter(own).isEmpty()
+        assert stored.count() >= 2 * (len(KEYS) - i)
+    with pytest.raises(ValueError):
+        writers.run_partition(df, "k", path, "")
+
+
+def test_every_character_names_one_folder(spark, tmp_path):
+    """A rerun of each single character, alone in its folder: first one row, then none."""
+    path, schema = str(tmp_path / "t"), "v int, k string"
+    for key in KEYS:
+        rows = spark.range(1).select(F.lit(7).alias("v"))
+        writers.replace_partition(rows, path, "k", key)
+    assert {r.k for r in spark.read.schema(schema).parquet(path).collect()} == set(KEYS)
+    assert spark.read.schema(schema).parquet(path).count() == len(KEYS)
+    for key in KEYS[::7]:
+        writers.replace_partition(spark.range(0).select(F.lit(7).alias("v")), path, "k", key)
+    assert {r.k for r in spark.read.schema(schema).parquet(path).collect()} == set(KEYS) - set(KEYS[::7])
+
+
 def test_routes_and_keys(spark, tmp_path):
     df = spark.range(100)
     writers.write_routes(df, str(tmp_path / "r"), F.when(F.col("id") > 60, "large").otherwise("small"))

@@ -36,7 +36,11 @@ def test_filters_and_columns_reach_the_scan(t, plan_of):
 def test_time_filters_reach_the_scan(spark, data, plan_of):
     plan = plan_of(QUERIES["agg_customer_insights"](spark, data))
     assert "GreaterThan(o_orderdate,2001-02-02" in plan and "LessThanOrEqual(o_orderdate,2001-08-01" in plan
-    assert "GreaterThanOrEqual(ts,2024-01-29" in plan_of(QUERIES["fresh_policy"](spark, data))
+
+
+def test_policies_look_at_all_events(spark, data, plan_of):
+    plan = plan_of(QUERIES["fresh_policy"](spark, data))
+    assert "PushedFilters: []" in plan and "(ts#" not in plan.split("FileScan")[0].split("Filter")[-1]
 
 
 def test_one_day_of_an_unpartitioned_table_is_a_range_for_the_scan(t, plan_of):
