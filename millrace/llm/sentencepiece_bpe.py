@@ -2,7 +2,8 @@
 
 A text starts as characters. All pairs of neighbours that form a piece stand in an agenda
 ordered by score, of equal scores the leftmost first. The first pair becomes one symbol,
-which may form new pairs with its neighbours, until the agenda is empty.
+which may form new pairs with its neighbours, until the agenda is empty. The agenda of a long
+chunk is a heap; those of many short chunks are rows of arrays.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,9 @@ SPACE = "▁"
 BATCH_ROWS = 256
 MEMO_BYTES = 96 << 20
 ENTRY_BYTES = 220
-SHORT = 256
+SHORT = 128
+#: chunks that are merged side by side
+ROWS = 8192
 #: no byte of UTF-8: a control piece has no text, but parts the bytes at its sides
 NO_TEXT = b"\xff"
 _POSITION = (1 << 40) - 1
@@ -100,10 +102,17 @@ class Pieces:
         self.own = frozenset(own)
         self.cut_own = re.compile("|".join(map(re.escape, own))) if own else None
 
-        # no piece goes on after a space, so a text falls apart in front of spaces
-        apart = self.bytes and not any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.chunks = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if apart else r"(?s:.+)")
-        self.memo: dict[str, bytes] = {}
+        # no piece goes on after a space, so a text falls apart in front of spaces, and at
+        # characters that join no other
+        self.apart = bool(self.bytes) and not any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        joined = set().union(*(p for p in self.ids if len(p) > 1))
+        alone = "".join(re.escape(c) for c in map(chr, range(128)) if c not in joined and c != "\0")
+        self.chunks = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]" if self.apart and alone else
+                                 f"{SPACE}*[^{SPACE}]+|{SPACE}+" if self.apart else r"(?s:.+)")
+        self.line_ends = "\n" not in joined
+        self.side_by_side = SideBySide(self) if self.bytes and not own and not self.unused else None
+        self.memo: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.held = 0
 
         raw = [p.replace(SPACE, " ").encode() for p in self.pieces]
@@ -141,8 +150,7 @@ class Pieces:
                 if parts is not None:
                     parts[symbols[i] + symbols[i + 1]] = symbols[i], symbols[i + 1]
         heapq.heapify(agenda)
-        wide = list if n < SHORT else partial(array, "q")
-        after, before = wide(range(1, n + 1)), wide(range(-1, n - 1))
+        after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
         get, push, pop = order.get, heapq.heappush, heapq.heappop
         while agenda:
             first = pop(agenda)
@@ -197,19 +205,34 @@ class Pieces:
             found = spelled
         return array("i", found).tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a text as 32-bit integers. Chunks are remembered while MEMO_BYTES last."""
-        chunks, memo = self.chunks.findall(self.library.normalize(text or "")), self.memo
-        new = []
-        for chunk in set(chunks).difference(memo):
-            memo[chunk] = found = self.chunk(chunk)
-            self.held += ENTRY_BYTES + len(chunk) + len(found)
-            new.append(chunk)
-        packed = b"".join(map(memo.__getitem__, chunks))
-        if self.held > MEMO_BYTES:
-            # frequent chunks come early: once full, the memo keeps those it has
-            for chunk in new:
-                self.held -= ENTRY_BYTES + len(chunk) + len(memo.pop(chunk))
+    def cut(self, text: str) -> list[str]:
+        """A normalized text in chunks that can be merged by themselves; some may be empty."""
+        if not self.apart or SPACE * 2 in text or " " in text:
+            return self.chunks.findall(text)
+        text = text.replace(SPACE, " " + SPACE)
+        return (text.replace("\n", " \n ") if self.line_ends else text).split(" ")
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as 32-bit integers.
+
+        Chunks are remembered in two halves of MEMO_BYTES. When the younger one is full the
+        older one is dropped: what has been used since is in the younger one too.
+        """
+        memo, older, packed = self.memo, self.older, []
+        split = [self.cut(self.library.normalize(t or "")) for t in texts]
+        new = set().union(*split).difference(memo)
+        known = {c: older[c] for c in new if c in older}
+        new = [c for c in new if c not in known]
+        if self.side_by_side:
+            known.update(self.side_by_side.encode([c for c in new if len(c) < SHORT]))
+            new = [c for c in new if len(c) >= SHORT]
+        known.update((c, self.chunk(c)) for c in new)
+        memo.update(known)
+        self.held += sum(ENTRY_BYTES + len(c) + len(found) for c, found in known.items())
+        for chunks in split:
+            packed.append(b"".join(map(memo.__getitem__, chunks)))
+        if self.held > MEMO_BYTES // 2:
+            self.memo, self.older, self.held = {"": b""}, memo, 0
         return packed
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -266,6 +289,110 @@ class Pieces:
         return b"".join(out)
 
 
+class SideBySide:
+    """The agendas of many short chunks at once, a row of arrays for each.
+
+    A row holds the symbols of a chunk and, for each pair of neighbours, the place of the
+    piece they form. At each step every row takes its first best pair.
+    """
+    NO_PLACE = np.int32(np.iinfo(np.int32).max)
+
+    def __init__(self, pieces: Pieces):
+        symbols = dict.fromkeys(c for p in pieces.ids for c in p)
+        symbols.update(dict.fromkeys(pieces.ids))
+        number = {s: n for n, s in enumerate(symbols)}
+        pairs = {}
+        for piece, place in pieces.order.items():
+            for i in range(1, len(piece)):
+                left, right = number.get(piece[:i]), number.get(piece[i:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = place >> 40, number[piece]
+        self.keys = np.array(sorted(pairs), dtype=np.int64)
+        self.place, self.made = (np.array([pairs[k][i] for k in self.keys.tolist()], dtype=np.int32) for i in (0, 1))
+        # characters in no piece have numbers behind those of all symbols
+        self.of_char = np.arange(0x110000, dtype=np.int32) + np.int32(len(number))
+        for s, n in number.items():
+            if len(s) == 1:
+                self.of_char[ord(s)] = n
+        self.id_of = np.array([pieces.ids.get(s, -1) for s in number], dtype=np.int32)
+        self.names, self.bytes = list(number), pieces.bytes
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of the piece of each pair; a negative symbol is the end of a chunk."""
+        keys = left.astype(np.int64) << 32 | np.maximum(right, 0)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        found = (self.keys[at] == keys) & (left >= 0) & (right >= 0)
+        return np.where(found, self.place[at], self.NO_PLACE), self.made[at]
+
+    def merged(self, symbols: np.ndarray) -> np.ndarray:
+        """Rows of symbols, filled up with -1, after all merges."""
+        rows, width = symbols.shape
+        if width < 2 or not len(self.keys):
+            return symbols
+        out, own = np.full(symbols.shape, -1, dtype=np.int32), np.arange(rows)
+        place, made = self.look_up(symbols[:, :-1], symbols[:, 1:])
+        columns = np.arange(width)
+        while len(own):
+            best = place.argmin(axis=1)
+            line = np.arange(len(own))
+            open_ = place[line, best] < self.NO_PLACE
+            out[own[~open_], :symbols.shape[1]] = symbols[~open_]
+            own, symbols, place, made, best = own[open_], symbols[open_], place[open_], made[open_], best[open_]
+            line = line[:len(own)]
+            symbols[line, best] = made[line, best]
+            # the symbol behind the pair goes, and so does the pair
+            after = columns[None, :symbols.shape[1] - 1]
+            symbols = np.take_along_axis(symbols, after + (after > best[:, None]), axis=1)
+            if symbols.shape[1] < 2:
+                out[own, :symbols.shape[1]] = symbols
+                break
+            after = after[:, :-1]
+            moved = after + (after >= best[:, None])
+            place, made = np.take_along_axis(place, moved, axis=1), np.take_along_axis(made, moved, axis=1)
+            for at in (best - 1, best):
+                inside = np.flatnonzero((at >= 0) & (at < place.shape[1]))
+                own_at = at[inside]
+                place[inside, own_at], made[inside, own_at] = self.look_up(
+                    symbols[inside, own_at], symbols[inside, own_at + 1])
+        return out
+
+    def encode(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of each chunk; those of about one length share their arrays."""
+        found = {}
+        by_width: dict[int, list[str]] = {}
+        for chunk in chunks:
+            by_width.setdefault(len(chunk) if len(chunk) < 24 else 1 << len(chunk).bit_length(), []).append(chunk)
+        for width, own in by_width.items():
+            for at in range(0, len(own), ROWS):
+                some = own[at:at + ROWS]
+                sizes = np.array([len(c) for c in some])
+                symbols = np.full((len(some), width), -1, dtype=np.int32)
+                codes = np.frombuffer("".join(some).encode("utf-32-le"), dtype=np.uint32)
+                symbols[np.arange(width)[None, :] < sizes[:, None]] = self.of_char[codes]
+                symbols = self.merged(symbols)
+                ids = np.where(symbols < 0, -2, self.id_of[np.clip(symbols, 0, len(self.id_of) - 1)])
+                ids[symbols >= len(self.id_of)] = -1
+                counts = (symbols >= 0).sum(axis=1).tolist()
+                spelled = (ids == -1).any(axis=1).tolist()
+                packed = ids.tobytes()
+                for i, chunk in enumerate(some):
+                    start = i * width * 4
+                    found[chunk] = self._spelled(ids[i], symbols[i]) if spelled[i] else packed[start:start + counts[i] * 4]
+        return found
+
+    def _spelled(self, ids: np.ndarray, symbols: np.ndarray) -> bytes:
+        """Ids of a chunk with characters that have no piece, and become their bytes."""
+        out = []
+        for i, symbol in zip(ids.tolist(), symbols.tolist()):
+            if i >= 0:
+                out.append(i)
+            elif symbol >= 0:
+                known = len(self.names)
+                text = self.names[symbol] if symbol < known else chr(symbol - known)
+                out += [self.bytes[b] for b in text.encode()]
+        return np.array(out, dtype=np.int32).tobytes()
+
+
 def _lists(packed: list[bytes]) -> pa.Array:
     ends = np.cumsum([0] + [len(p) // 4 for p in packed])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
@@ -310,7 +437,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", ch
     """
     def make(pieces: Pieces, texts: pa.Array) -> list[pa.Array]:
         listed = [t or "" for t in texts.to_pylist()]
-        ids = _lists([pieces.encode(t) for t in listed])
+        ids = _lists(pieces.encode(listed))
         if not check:
             return [ids]
         theirs = pieces.library.encode(listed, num_threads=1)
