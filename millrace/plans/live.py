@@ -1,22 +1,31 @@
-"""The streams on the test tables: a table is a folder of arrived files.
+"""The streams on the test tables, which arrive as eight files in eight batches.
 
-Each query runs its stream until everything that has arrived is processed and
-reads back what was written. Windows still open at the end are not written, so
-the SQL leaves them out too. Rows behind the watermark end the query with an error.
+Each query runs its stream until everything that has arrived is processed and reads back
+what was written. The order of the files is not that of the events, so most batches hold
+rows behind the windows closed before. Windows still open at the end are not in the result.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from millrace.plans.registry import query, rounded, text_time
-from millrace.plans.tables import (V_BOOK, V_CUST, as_book, as_materializations, customers)
+from millrace.plans.tables import NOW, V_BOOK, V_CUST, as_book, as_materializations, customers
 from millrace.session import shared_dir
 from millrace.streaming import streams
 
 
+FILES = 8
+
+
 def _stream(t, name):
-    return streams.read_stream(t.spark, t.folder, getattr(t, name).schema, f"{name}.parquet")
+    """A table dealt to files by a hash of its rows, one file a batch."""
+    rows, path = getattr(t, name), shared_dir(t.spark, f"arriving-{name}")
+    columns = [c for c, kind in rows.dtypes if "<" not in kind]
+    rows.repartition(FILES, F.xxhash64(*columns)).write.parquet(path)
+    return streams.read_stream(t.spark, path, rows.schema, files_per_batch=1)
 
 
 @query("st_order_book", """
@@ -32,12 +41,10 @@ SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, market_id, s
        round(spread + 1e-7, 4) AS avg_spread_pct, total_market_volume
 FROM closed WHERE spread < 0.05 OR total_market_volume < 100""", (V_BOOK,))
 def st_order_book(t):
-    path = shared_dir(t.spark, "violations")
+    path = shared_dir(t.spark, "order-book")
     book = streams.event_time(as_book(_stream(t, "lineitem")))
-    found = streams.order_book_stream(book, 0.05, 100)
-    streams.land(found, path, shared_dir(t.spark, "progress"), strict=True)
-    stored = t.spark.read.schema(found.schema).parquet(path)
-    return rounded(stored.withColumn("window_start", text_time("window_start")))
+    streams.order_book_stream(book, path, shared_dir(t.spark, "progress"), 0.05, 100, bucket="month")
+    return rounded(streams.violations(t.spark, path).withColumn("window_start", text_time("window_start")))
 
 
 @query("st_asset_trigger", """
@@ -46,17 +53,14 @@ SELECT 'refresh_' || customer_id || ':' || event_id AS run_key, 'refresh_' || cu
 FROM events JOIN v_cust ON user_id = customer_id
 WHERE tier = 'enterprise' AND event_type <> 'error'""", (V_CUST,))
 def st_asset_trigger(t):
-    """Every event is delivered twice and must start one run."""
+    """Every event is delivered twice, in one batch and again in a stream after that, and must start one run."""
     path = shared_dir(t.spark, "runs")
-    events = _stream(t, "events").union(_stream(t, "events"))
-    log = streams.event_time(as_materializations(events))
     watch = customers(t).filter("tier = 'enterprise'").select(
-        F.concat(F.lit("asset_"), "customer_id").alias("asset"),
-        F.concat(F.lit("refresh_"), "customer_id").alias("job"))
-    triggered = streams.trigger_stream(log, watch)
-    streams.land(triggered, path, shared_dir(t.spark, "progress"), strict=True)
-    stored = t.spark.read.schema(triggered.schema).parquet(path)
-    return stored.withColumn("ts", text_time("ts"))
+        F.concat(F.lit("asset_"), "customer_id").alias("asset"), F.concat(F.lit("refresh_"), "customer_id").alias("job"))
+    for stream in (_stream(t, "events"), _stream(t, "events")):
+        log = streams.event_time(as_materializations(stream.union(stream)))
+        streams.trigger_stream(log, watch, path, shared_dir(t.spark, "progress"), prefixes=8)
+    return streams.run_ledger(t.spark, path).drop("prefix", "part").withColumn("ts", text_time("ts"))
 
 
 @query("st_ingest_hourly", """
@@ -64,9 +68,10 @@ SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(hour(ts) AS INTEGER) AS hour, coun
        round(sum(value), 4) AS total
 FROM events GROUP BY 1, 2""")
 def st_ingest_hourly(t):
-    path = shared_dir(t.spark, "landed")
+    path, schema = shared_dir(t.spark, "landed"), t.events.schema
     streams.ingest_stream(_stream(t, "events"), path, shared_dir(t.spark, "progress"))
-    stored = t.spark.read.schema(streams.with_hour(t.events).schema).parquet(path)
+    streams.compact_hours(t.spark, path, schema, datetime.fromisoformat(NOW))
+    stored = streams.landed(t.spark, path, schema)
     return rounded(stored.groupBy("date", "hour").agg(
         F.count(F.lit(1)).alias("records"), F.sum("value").alias("total")))
 
@@ -81,9 +86,5 @@ WHERE date_trunc('day', ts) + INTERVAL 1 DAY
 GROUP BY date_trunc('day', ts)""")
 def st_alerts(t):
     path = shared_dir(t.spark, "alerts")
-    completed = streams.windowed_totals(streams.event_time(_stream(t, "events")))
-    streams.alert_stream(completed, path, shared_dir(t.spark, "progress"), "daily_totals",
-                         strict=True)
-    stored = t.spark.read.schema(completed.schema).parquet(path)
-    return rounded(stored.select(*completed.columns)
-                   .withColumn("window_start", text_time("window_start")))
+    streams.alert_stream(streams.event_time(_stream(t, "events")), path, shared_dir(t.spark, "progress"), "daily_totals")
+    return rounded(streams.alerts(t.spark, path).drop("stream").withColumn("window_start", text_time("window_start")))

@@ -94,6 +94,31 @@ def edges(t: Tables) -> DataFrame:
             .union(edge(t.nation, "nation", "n_nationkey", "region", "n_regionkey")))
 
 
+def pipeline_edges(t: Tables) -> DataFrame:
+    """A graph with depth, cycles and unknown inputs, from customers in groups of eight.
+
+    The first of a group depends on its nation, each other one on the one before. In every
+    fifth group the second depends on the fifth, in every seventh the third on something
+    that is no asset.
+    """
+    key, first, group = F.col("c_custkey"), F.col("c_custkey") % 8, F.floor(F.col("c_custkey") / 8)
+    name = lambda k: F.concat(F.lit("customer/"), k.cast("string"))
+    there = t.customer.select((key + 1).alias("c_custkey"), F.lit(True).alias("_there"))
+    rows = t.customer.join(there, "c_custkey", "left")
+    chain = F.when((first > 0) & F.col("_there"), name(key - 1)).otherwise(F.concat(F.lit("nation/"), F.col("c_nationkey")))
+    deps = F.array_compact(F.array(
+        chain, F.when((group % 5 == 1) & (first == 2), name(key + 3)),
+        F.when((group % 7 == 1) & (first == 3), F.concat(F.lit("missing/"), group.cast("string")))))
+    return rows.select(name(key).alias("consumer"), F.explode(deps).alias("dep")).union(
+        t.nation.select(F.concat(F.lit("nation/"), "n_nationkey"), F.concat(F.lit("region/"), "n_regionkey")))
+
+
+def pipeline_assets(t: Tables) -> DataFrame:
+    own = lambda df, kind, key: df.select(F.concat(F.lit(f"{kind}/"), key).alias("uri"))
+    return own(t.customer, "customer", "c_custkey").union(own(t.nation, "nation", "n_nationkey")).union(
+        own(t.region, "region", "r_regionkey"))
+
+
 # The same views for the SQL checks.
 V_BOOK = """v_book AS (
   SELECT 'market_' || l_suppkey AS market_id, l_orderkey * 10 + l_linenumber AS snapshot_id,
@@ -123,3 +148,15 @@ V_EDGES = """v_edges AS (
          CAST(0 AS BIGINT) AS ord FROM customer
   UNION ALL SELECT 'supplier/' || s_suppkey, 'nation/' || s_nationkey, 0 FROM supplier
   UNION ALL SELECT 'nation/' || n_nationkey, 'region/' || n_regionkey, 0 FROM nation)"""
+V_PIPELINE = """p_edges AS (
+  SELECT 'customer/' || c_custkey AS consumer,
+         CASE WHEN c_custkey % 8 > 0 AND c_custkey - 1 IN (SELECT c_custkey FROM customer)
+              THEN 'customer/' || (c_custkey - 1) ELSE 'nation/' || c_nationkey END AS dep FROM customer
+  UNION SELECT 'customer/' || c_custkey, 'customer/' || (c_custkey + 3) FROM customer
+  WHERE (c_custkey // 8) % 5 = 1 AND c_custkey % 8 = 2
+  UNION SELECT 'customer/' || c_custkey, 'missing/' || (c_custkey // 8) FROM customer
+  WHERE (c_custkey // 8) % 7 = 1 AND c_custkey % 8 = 3
+  UNION SELECT 'nation/' || n_nationkey, 'region/' || n_regionkey FROM nation),
+p_assets AS (
+  SELECT 'customer/' || c_custkey AS uri FROM customer UNION SELECT 'nation/' || n_nationkey FROM nation
+  UNION SELECT 'region/' || r_regionkey FROM region)"""

@@ -12,7 +12,8 @@ from millrace.operators.lineage import topo_levels, upstream
 from millrace.operators.partitions import assign_partition
 from millrace.operators.profile import merge_metadata, profile
 from millrace.plans.registry import query, rounded, text_time
-from millrace.plans.tables import TABLES, V_CUST, V_EDGES, customers, edges
+from millrace.plans.tables import (TABLES, V_CUST, V_EDGES, V_PIPELINE, customers, edges, pipeline_assets,
+                                   pipeline_edges)
 from millrace.session import shared_dir
 from millrace.sources import readers, writers
 from millrace.sources.assets import materialize, read_log
@@ -210,24 +211,51 @@ def metadata_merge(t):
     return merge_metadata(writes.filter(by_user), writes.filter(~by_user))
 
 
+# shortest paths are no longer than a group, a nation and a region
 @query("lin_upstream", """
 , closure AS (
-  SELECT consumer AS asset, dep AS upstream, 1 AS depth FROM v_edges
-  UNION ALL
+  SELECT consumer AS asset, dep AS upstream, 1 AS depth FROM p_edges
+  UNION
+  SELECT asset, e.dep, depth + 1 FROM closure JOIN p_edges e ON e.consumer = upstream WHERE depth < 11)
+SELECT asset, upstream, min(depth) AS depth FROM closure GROUP BY asset, upstream
+""", (V_PIPELINE,), recursive=True)
+def lin_upstream(t):
+    return upstream(pipeline_edges(t))
+
+
+@query("lin_upstream_some", """
+, closure AS (
+  SELECT consumer AS asset, dep AS upstream, 1 AS depth FROM v_edges WHERE consumer IN (
+    SELECT 'customer/' || c_custkey FROM customer WHERE c_acctbal > 5000)
+  UNION
   SELECT asset, e.dep, depth + 1 FROM closure JOIN v_edges e ON e.consumer = upstream)
 SELECT asset, upstream, min(depth) AS depth FROM closure GROUP BY asset, upstream
 """, (V_EDGES,), recursive=True)
-def lin_upstream(t):
-    return upstream(edges(t))
+def lin_upstream_some(t):
+    """Only for customers with much on their account."""
+    asked = t.customer.filter("c_acctbal > 5000").select(F.concat(F.lit("customer/"), "c_custkey").alias("asset"))
+    return upstream(edges(t), start=asked)
 
 
 @query("lin_order", """
 , closure AS (
-  SELECT consumer AS uri, dep, 1 AS depth FROM v_edges
-  UNION ALL
-  SELECT uri, e.dep, depth + 1 FROM closure c JOIN v_edges e ON e.consumer = c.dep),
-assets AS (SELECT consumer AS uri FROM v_edges UNION SELECT dep FROM v_edges)
-SELECT uri, coalesce(max(depth), 0) AS level, CAST(NULL AS VARCHAR) AS rejected
-FROM assets LEFT JOIN closure USING (uri) GROUP BY uri""", (V_EDGES,), recursive=True)
+  SELECT consumer AS uri, dep FROM p_edges
+  UNION
+  SELECT uri, e.dep FROM closure c JOIN p_edges e ON e.consumer = c.dep),
+in_cycle AS (SELECT uri FROM closure WHERE uri = dep),
+lost AS (SELECT uri FROM closure WHERE dep NOT IN (SELECT uri FROM p_assets)),
+reasons AS (
+  SELECT uri, CASE WHEN uri IN (SELECT uri FROM in_cycle) THEN 'cycle'
+                   WHEN uri IN (SELECT uri FROM lost) THEN 'unknown dependency'
+                   WHEN uri IN (SELECT c.uri FROM closure c JOIN in_cycle i ON c.dep = i.uri) THEN 'behind a cycle'
+              END AS rejected
+  FROM p_assets),
+paths AS (
+  SELECT uri, 0 AS depth FROM reasons WHERE rejected IS NULL AND uri NOT IN (SELECT consumer FROM p_edges)
+  UNION
+  SELECT r.uri, depth + 1 FROM paths JOIN p_edges e ON e.dep = paths.uri JOIN reasons r ON r.uri = e.consumer
+  WHERE r.rejected IS NULL)
+SELECT uri, CASE WHEN rejected IS NULL THEN max(depth) END AS level, rejected
+FROM reasons LEFT JOIN paths USING (uri) GROUP BY uri, rejected""", (V_PIPELINE,), recursive=True)
 def lin_order(t):
-    return topo_levels(edges(t))
+    return topo_levels(pipeline_edges(t), pipeline_assets(t))

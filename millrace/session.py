@@ -88,16 +88,18 @@ def remove(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def folders_of(rows: DataFrame) -> list[str]:
-    """The folders that hold the files of a frame read from a partitioned table.
+def stored_partitions(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A row for each row of a partitioned table: its partition columns, and its folder as ``_folder``."""
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.withColumn("_folder", F.regexp_replace("_metadata.file_path", "/[^/]*$", ""))
 
-    Only paths come to the driver, one for each folder. Columns other than those of the
-    partitions are not read.
-    """
-    spark = rows.sparkSession
-    files = rows.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")).distinct().collect()
+
+def folders_of(rows: DataFrame) -> list[str]:
+    """The distinct folders of rows of ``stored_partitions``; only they come to the driver."""
+    jvm = rows.sparkSession._jvm
     # file paths are given as URIs, with characters escaped
-    return [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(r["folder"])).toString() for r in files]
+    return [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["_folder"])).toString()
+            for r in rows.select("_folder").distinct().collect()]
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

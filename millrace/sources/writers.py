@@ -6,10 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.functions.periods import key_bounds, last_finished_key
-from millrace.session import exists, folders_of, remove
+from millrace.session import exists, folders_of, remove, stored_partitions
 
 # The output formats that can be asked for.
 OUTPUT_FORMATS = ("json", "csv", "xml")
@@ -105,7 +104,7 @@ def replace_partition(rows: DataFrame, path: str, column: str, key: str | _NoKey
     write_partition(rows.drop(column).observe(seen, F.count(F.lit(1)).alias("rows")).withColumn(column, value), path, column)
     written = seen.get["rows"]
     if not written and exists(spark, path):
-        stored = spark.read.schema(T.StructType([T.StructField(column, T.StringType())])).parquet(path)
+        stored = stored_partitions(spark, path, f"`{column}` string")
         remove(spark, *folders_of(stored.filter(F.col(f"`{column}`").eqNullSafe(value))))
     return written
 

@@ -1,18 +1,26 @@
 """Order-book windows, asset triggers, event landing and alerts as streams.
 
-Every function takes a streaming frame and returns one, so source, sink and
-trigger stay the caller's. ``land`` runs what has arrived and stops.
+Each function runs what has arrived on a stream, and stops. None has a watermark: what
+comes late is added to where it belongs, and a batch that runs twice counts once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import Future
+from datetime import datetime, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.numbers import printed_round
-from millrace.operators.aggregates import (MIN_MARKET_VOLUME, MIN_SPREAD_PCT, market_stats,
-                                           rule_violations)
+from millrace.operators.aggregates import MIN_MARKET_VOLUME, MIN_SPREAD_PCT, rule_violations
+from millrace.operators.transforms import with_spread
+from millrace.session import exists, folders_of, remove, stored_partitions
 from millrace.sources.writers import write_partition
+from millrace.streaming.totals import WindowTotals, replace_buckets
+
+DELAY = timedelta(minutes=10)
 
 
 def read_stream(spark: SparkSession, folder: str, schema, pattern: str | None = None,
@@ -27,111 +35,189 @@ def read_stream(spark: SparkSession, folder: str, schema, pattern: str | None =
 
 
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """A zone-less time as UTC: a watermark needs a timestamp."""
+    """A zone-less time as UTC: the windows of a stream are between instants."""
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def order_book_stream(book: DataFrame, min_spread: float = MIN_SPREAD_PCT,
-                      min_volume: float = MIN_MARKET_VOLUME, delay: str = "10 minutes",
-                      width: str = "1 hour") -> DataFrame:
-    """Markets that break the rules, per closed window.
+def _run_batches(rows: DataFrame, checkpoint_dir: str, take) -> None:
+    """``take(batch, name)`` for each batch that has arrived; a batch that runs again has the same name."""
+    stream: Future[str] = Future()
+    query = (rows.writeStream.foreachBatch(lambda batch, n: take(batch, f"{stream.result()}-{n}"))
+             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    stream.set_result(str(query.id))
+    query.awaitTermination()
+
+
+# ---- order book
+
+def order_book_totals(path: str, delay: timedelta = DELAY, width: timedelta = timedelta(hours=1),
+                      bucket: str = "day") -> WindowTotals:
+    """Snapshots, spreads and volume per market and window, below a folder."""
+    spread = F.col("spread_pct")
+    return WindowTotals(f"{path}/totals", {
+        "snapshot_count": ("bigint", F.lit(1)), "spreads": ("bigint", spread.isNotNull().cast("bigint")),
+        "spread_sum": ("double", spread), "total_market_volume": ("bigint", F.col("total_volume"))},
+        {"market_id": "string"}, delay=delay, width=width, bucket=bucket)
+
+
+def order_book_stream(book: DataFrame, path: str, checkpoint_dir: str, min_spread: float = MIN_SPREAD_PCT,
+                      min_volume: float = MIN_MARKET_VOLUME, delay: timedelta = DELAY,
+                      width: timedelta = timedelta(hours=1), bucket: str = "day") -> WindowTotals:
+    """Write markets that break the rules, per closed window, to ``path/violations``.
 
-    Snapshots are combined inside each task before they reach the state, which
-    holds one row per market and open window.
+    A late snapshot changes its window, which is then judged again: violations appear or go.
     """
-    windowed = book.withWatermark("ts", delay).withColumn("window", F.window("ts", width))
-    return rule_violations(market_stats(windowed, "window", "market_id"), min_spread,
-                           min_volume).select(
-        F.col("window.start").alias("window_start"), "market_id", "snapshot_count",
-        "avg_spread_pct", "total_market_volume")
+    totals = order_book_totals(path, delay, width, bucket)
+
+    def emit(rows: DataFrame, due: Column) -> None:
+        found = rule_violations(rows.withColumn("avg_spread_pct", F.try_divide("spread_sum", "spreads")), min_spread, min_volume)
+        replace_buckets(found.select("window_start", "market_id", "snapshot_count", "avg_spread_pct",
+                                     "total_market_volume", "bucket"), due, f"{path}/violations", "bucket")
+
+    totals.run(with_spread(book), checkpoint_dir, emit)
+    return totals
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def violations(spark: SparkSession, path: str) -> DataFrame:
+    return _read(spark, f"{path}/violations", "window_start timestamp, market_id string, snapshot_count bigint, "
+                 "avg_spread_pct double, total_market_volume bigint, bucket string").drop("bucket")
+
 
+# ---- triggers
 
-def trigger_stream(events: DataFrame, watch: DataFrame, delay: str = "1 day",
-                   salts: int = 8) -> DataFrame:
-    """One run row per new successful materialization of a watched asset.
+_RUNS = "run_key string, job string, asset string, event_id bigint, ts timestamp, prefix int, part string"
 
-    ``watch(asset, job)`` says which job follows which asset. A materialization
-    delivered again within ``delay`` starts no second run. Only events of
-    watched assets are kept in the state. An event delivered very many times is
-    first reduced to one copy per salt, in as many tasks, and then to one.
+
+def trigger_stream(events: DataFrame, watch: DataFrame, path: str, checkpoint_dir: str, prefixes: int = 64) -> None:
+    """Append one run row per new successful materialization of a watched asset.
+
+    ``watch(asset, job)`` says which job follows which asset. The runs are also the ledger
+    of what has been started: partitioned by a prefix of the key's hash, of which a batch
+    reads only those its own keys have. So an event delivered again starts no second run,
+    however much later, and none is too late. Copies of an event are reduced in each task
+    before they are shuffled. Streams that share a ledger must not run at the same time.
     """
-    watched = (events.filter("success").withWatermark("ts", delay)
-               .join(watch.select("asset", "job"), "asset"))
-    if salts > 1:
-        watched = watched.withColumn("_salt", F.spark_partition_id() % salts)
-        watched = watched.dropDuplicatesWithinWatermark(["job", "event_id", "_salt"])
-    return (watched.dropDuplicatesWithinWatermark(["job", "event_id"])
-            .select(F.concat_ws(":", "job", F.col("event_id").cast("string")).alias("run_key"),
-                    "job", "asset", "event_id", "ts"))
+    def take(batch: DataFrame, part: str) -> None:
+        spark = batch.sparkSession
+        runs = batch.filter("success").join(watch.select("asset", "job"), "asset").select(
+            F.concat_ws(":", "job", F.col("event_id").cast("string")).alias("run_key"), "job", "asset", "event_id", "ts")
+        once = runs.groupBy("run_key").agg(F.min(F.struct("ts", "job", "asset", "event_id")).alias("run")).select(
+            "run_key", "run.job", "run.asset", "run.event_id", "run.ts",
+            F.pmod(F.xxhash64("run_key"), F.lit(prefixes)).cast("int").alias("prefix")).persist()
+        # no more of them than there are prefixes
+        here = [r["prefix"] for r in once.select("prefix").distinct().collect()]
+        if here:
+            ledger = run_ledger(spark, path).filter(F.col("prefix").isin(here) & (F.col("part") != part))
+            new = once.join(ledger.select("prefix", "run_key"), ["prefix", "run_key"], "left_anti")
+            write_partition(new.withColumn("part", F.lit(part)), path, "prefix", "part", rebalance=True)
+        once.unpersist()
+
+    _run_batches(events, checkpoint_dir, take)
+
 
+def run_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The runs started, with the partitions they are kept in."""
+    return _read(spark, path, _RUNS)
+
+
+# ---- landing
 
 def with_hour(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumns({"date": F.date_format(ts, "yyyy-MM-dd"), "hour": F.hour(ts)})
 
 
-def ingest_stream(src: DataFrame, path: str, checkpoint_dir: str) -> None:
-    """Land arrived events as Parquet, one folder per date and hour."""
-    land(with_hour(src), path, checkpoint_dir, "date", "hour")
+def ingest_stream(src: DataFrame, path: str, checkpoint_dir: str, ts: str = "ts") -> None:
+    """Land arrived events as Parquet, one folder per date, hour and batch.
+
+    The rows of an hour are brought together first, and Spark splits a large hour. A batch
+    that runs again replaces its own folders.
+    """
+    _run_batches(with_hour(src, ts), checkpoint_dir, lambda batch, part: write_partition(
+        batch.withColumn("part", F.lit(part)), f"{path}/arrived", "date", "hour", "part", rebalance=True))
+
+
+def _landed(spark: SparkSession, path: str, schema) -> tuple[DataFrame, DataFrame]:
+    """Arrived rows that no closed hour holds, and the newest generation of each closed hour."""
+    events = spark.createDataFrame([], schema).schema.fields
+
+    def rows(name: str, *parts: tuple[str, T.DataType]) -> DataFrame:
+        fields = T.StructType([*events, *[T.StructField(c, kind) for c, kind in parts]])
+        where = f"{path}/{name}"
+        return spark.read.schema(fields).parquet(where) if exists(spark, where) else spark.createDataFrame([], fields)
 
+    part, gen = ("part", T.StringType()), ("gen", T.IntegerType())
+    hour = ("date", T.StringType()), ("hour", T.IntegerType())
+    closed = rows("closed", part, *hour, gen)
+    newest = closed.groupBy("date", "hour").agg(F.max("gen").alias("gen"))
+    closed = closed.join(newest, ["date", "hour", "gen"])
+    arrived = rows("arrived", *hour, part)
+    return arrived.join(closed.select("date", "hour", "part").distinct(), ["date", "hour", "part"], "left_anti"), closed
 
-class LateRows(RuntimeError):
-    """Rows came behind the watermark and are missing from what was written."""
 
+def landed(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Each event that has landed, once; ``schema`` is that of the events."""
+    arrived, closed = _landed(spark, path, schema)
+    return arrived.unionByName(closed.drop("gen")).drop("part")
 
-def _run_out(query, strict: bool) -> int:
-    """Wait for a query and count the rows its state dropped as too late.
 
-    An aggregate combines rows first, so there the count can be below that of the input
-    rows; it is 0 only if none was dropped. Spark keeps the progress of a hundred batches,
-    so it is looked at while the query runs.
+def compact_hours(spark: SparkSession, path: str, schema, before: datetime) -> None:
+    """Bring the batches of every hour over by ``before`` (UTC) together into few files.
+
+    A new generation of an hour is written beside the one before and keeps the name of the
+    batch of each row. Readers leave out arrived folders whose batch a closed hour holds, so
+    at any moment each event is seen once. What is no longer read is deleted last.
     """
-    dropped: dict[int, int] = {}
-    ended = False
-    while not ended:
-        ended = query.awaitTermination(1)
-        for progress in query.recentProgress:
-            late = sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
-            dropped[progress.batchId] = max(late, dropped.get(progress.batchId, 0))
-    if strict and sum(dropped.values()):
-        raise LateRows(f"{sum(dropped.values())} rows of the state came behind the watermark and are not in the result")
-    return sum(dropped.values())
-
-
-def land(df: DataFrame, path: str, checkpoint_dir: str, *partitions: str, strict: bool = False) -> int:
-    """Append what has arrived to Parquet, exactly once, and stop.
-
-    Returns how many rows were dropped behind the watermark; ``strict`` raises ``LateRows``
-    if there are any. What was written until then stays.
+    arrived, closed = _landed(spark, path, schema)
+    over = F.to_timestamp_ntz(F.concat_ws(" ", "date", F.lpad(F.col("hour").cast("string"), 2, "0")), F.lit("yyyy-MM-dd HH"))
+    hours = arrived.select("date", "hour").distinct().filter(
+        over + F.expr("INTERVAL 1 HOUR") <= F.lit(before.isoformat(" ")).cast("timestamp_ntz"))
+    gens = closed.groupBy("date", "hour").agg(F.max("gen").alias("_gen"))
+    rows = arrived.unionByName(closed.drop("gen")).join(hours, ["date", "hour"], "left_semi").join(gens, ["date", "hour"], "left")
+    rows = rows.withColumn("gen", F.coalesce("_gen", F.lit(0)) + 1).drop("_gen")
+    write_partition(rows, f"{path}/closed", "date", "hour", "gen", rebalance=True)
+    if not exists(spark, f"{path}/closed"):
+        return
+    _, closed = _landed(spark, path, schema)
+    kept = closed.select("date", "hour", "gen", "part").distinct()
+    old = stored_partitions(spark, f"{path}/closed", "date string, hour int, gen int").join(
+        kept.groupBy("date", "hour").agg(F.max("gen").alias("newest")), ["date", "hour"]).filter("gen < newest")
+    done = stored_partitions(spark, f"{path}/arrived", "date string, hour int, part string").join(
+        kept.select("date", "hour", "part"), ["date", "hour", "part"], "left_semi")
+    remove(spark, *folders_of(done), *folders_of(old))
+
+
+# ---- alerts
+
+def alert_totals(path: str, delay: timedelta = DELAY, width: timedelta = timedelta(days=1), bucket: str = "month") -> WindowTotals:
+    """Records and sum of the values per window, below a folder."""
+    value = F.col("value")
+    return WindowTotals(f"{path}/totals", {"records": ("bigint", F.lit(1)), "sum": ("double", value),
+                                           "values": ("bigint", value.isNotNull().cast("bigint"))},
+                        delay=delay, width=width, bucket=bucket)
+
+
+def alert_stream(events: DataFrame, path: str, checkpoint_dir: str, name: str, delay: timedelta = DELAY,
+                 width: timedelta = timedelta(days=1), bucket: str = "month") -> WindowTotals:
+    """Write an alert row for every window that closes, to ``path/alerts``.
+
+    The totals are those of all streams that share ``path``. A late event changes its window,
+    whose alert is then written again.
     """
-    writer = (df.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True))
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    return _run_out(writer.start(path), strict)
-
+    totals = alert_totals(path, delay, width, bucket)
 
-def windowed_totals(events: DataFrame, delay: str = "10 minutes",
-                    width: str = "1 day") -> DataFrame:
-    """Records, sum and average per closed window."""
-    return (events.withWatermark("ts", delay).groupBy(F.window("ts", width).alias("window"))
-            .agg(F.count(F.lit(1)).alias("records"), F.sum("value").alias("sum"),
-                 F.avg("value").alias("average"))
-            .select(F.col("window.start").alias("window_start"), "records", "sum", "average"))
+    def emit(rows: DataFrame, due: Column) -> None:
+        found = rows.withColumns({"average": printed_round(F.try_divide("sum", "values"), 2), "stream": F.lit(name)})
+        replace_buckets(found.select("window_start", "records", "sum", "average", "stream", "bucket"),
+                        due & (F.col("stream") == name), f"{path}/alerts", "stream", "bucket")
 
+    totals.run(events, checkpoint_dir, emit)
+    return totals
 
-def alert_stream(completed: DataFrame, path: str, checkpoint_dir: str, name: str,
-                 strict: bool = False) -> int:
-    """Write an alert row for every aggregate that completes.
 
-    A window that is written again, after a failure or by a stream without memory of the
-    first, replaces its own row, because alerts are partitioned by stream name and window.
-    Late rows are counted and ``strict`` holds as in ``land``.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumns({"average": printed_round(F.col("average"), 2),
-                                  "stream": F.lit(name), "batch_id": F.lit(batch_id),
-                                  "window": F.date_format("window_start", "yyyy-MM-dd'T'HH-mm-ss")})
-        write_partition(rows, path, "stream", "window")
-    return _run_out(completed.writeStream.foreachBatch(write).outputMode("append")
-                    .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True)
-                    .start(), strict)
+def alerts(spark: SparkSession, path: str) -> DataFrame:
+    return _read(spark, f"{path}/alerts", "window_start timestamp, records bigint, sum double, average double, "
+                 "stream string, bucket string").drop("bucket")

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators.lineage import topo_levels, upstream
 from millrace.operators.profile import merge_metadata, profile
@@ -54,16 +55,60 @@ def test_levels_against_brute_force(spark):
     assert closure == {(n, d): depth for n in nodes for d, depth in reach(n).items()}
 
 
+def test_a_chain_of_a_thousand_in_few_rounds(spark, monkeypatch):
+    from millrace.operators import lineage
+    rounds, real = [], lineage.checkpoint
+    monkeypatch.setattr(lineage, "checkpoint", lambda df: (rounds.append(1), real(df))[1])
+    n = 1000
+    chain = spark.range(1, n).select(F.col("id").cast("string").alias("consumer"), (F.col("id") - 1).cast("string").alias("dep"))
+    got = upstream(chain).agg(F.count("*"), F.max("depth"), F.sum(F.col("asset").cast("int") - F.col("upstream").cast("int") - F.col("depth"))).first()
+    assert tuple(got) == (n * (n - 1) // 2, n - 1, 0) and len(rounds) <= 11
+
+
+def test_only_what_is_asked_for(spark, rows):
+    edges = frame(spark, [("a", "b"), ("b", "c"), ("c", "a"), ("x", "b"), ("c", "d"), ("d", "d")])
+    start = spark.createDataFrame([("a",), ("d",), ("d",), ("nobody",)], "asset string")
+    every = [r for r in rows(upstream(edges), "asset", "upstream") if r[0] in "ad"]
+    assert rows(upstream(edges, start=start), "asset", "upstream") == every
+    assert every == [("a", "a", 3), ("a", "b", 1), ("a", "c", 2), ("a", "d", 3), ("d", "d", 1)]
+    with pytest.raises(ValueError):
+        upstream(edges, 2, start)
+
+
 def test_cycles_and_unknown_inputs_are_reported(spark):
     edges = frame(spark, [("b", "a"), ("c", "d"), ("d", "c"), ("e", "d"), ("f", "ghost"), ("g", "f"),
-                          ("g", "a")])
-    assets = spark.createDataFrame([(n,) for n in "abcdefg"], "uri string")
+                          ("g", "a"), ("h", "h"), ("h", "f"), ("i", "h"), ("c", "a")])
+    assets = spark.createDataFrame([(n,) for n in "abcdefghi"], "uri string")
     got = {r.uri: (r.level, r.rejected) for r in topo_levels(edges, assets).collect()}
-    assert got == {"a": (0, None), "b": (1, None), "c": (None, "cycle"), "d": (None, "cycle"),
-                   "e": (None, "cycle"), "f": (None, "unknown dependency"),
-                   "g": (None, "unknown dependency")}
+    lost, behind = (None, "unknown dependency"), (None, "behind a cycle")
+    assert got == {"a": (0, None), "b": (1, None), "c": (None, "cycle"), "d": (None, "cycle"), "e": behind,
+                   "f": lost, "g": lost, "h": (None, "cycle"), "i": lost}
     implied = {r.uri: r.level for r in topo_levels(edges.filter("consumer in ('f', 'g')")).collect()}
     assert implied == {"ghost": 0, "a": 0, "f": 1, "g": 2}
+    assert topo_levels(edges.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_cycles_against_brute_force(spark, seed):
+    """Random graphs with several tangled cycles, paths between them and tails on both sides."""
+    rng = random.Random(seed)
+    nodes = [f"n{i:02d}" for i in range(45)]
+    pairs = {(rng.choice(nodes), rng.choice(nodes)) for _ in range(48)} | {("n03", "gone")}
+    deps = {n: {d for c, d in pairs if c == n} for n in [*nodes, "gone"]}
+
+    def closure(n):
+        found, todo = set(), deps[n]
+        while todo:
+            found |= todo
+            todo = {d for t in todo for d in deps[t]} - found
+        return found
+    behind = {n: closure(n) for n in nodes}
+    in_cycle = {n for n in nodes if n in behind[n]}
+    want = {n: "cycle" if n in in_cycle else "unknown dependency" if "gone" in behind[n]
+            else "behind a cycle" if behind[n] & in_cycle else None for n in nodes}
+    assets = spark.createDataFrame([(n,) for n in nodes], "uri string")
+    got = {r.uri: r.rejected for r in topo_levels(frame(spark, sorted(pairs)), assets).collect()}
+    assert got == want and len(in_cycle) > 1
 
 
 @pytest.mark.parametrize("explicit, extra, wanted", [

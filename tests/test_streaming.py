@@ -1,5 +1,6 @@
-"""Streams over several files, with restarts, next to the same query as a batch."""
+"""Streams over several files in any order, with restarts and replays, next to the same query as a batch."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -24,126 +25,131 @@ def book_rows(first_hour, hours):
             for h in range(first_hour, first_hour + hours) for m in range(3) for i in range(4)]
 
 
-def test_order_book_over_restarts(spark, tmp_path, rows):
-    source, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
-    everything = []
-    for first in (0, 3, 6):
-        new = book_rows(first, 3)
-        everything += new
-        arrive(spark, source, new, BOOK)
-        book = streams.read_stream(spark, str(source), BOOK)
-        found = streams.order_book_stream(book, min_spread=0.5, min_volume=100000)
-        streams.land(found, out, progress)
-    # nothing new arrived: nothing more is written
-    streams.land(streams.order_book_stream(streams.read_stream(spark, str(source), BOOK),
-                                           min_spread=0.5, min_volume=100000), out, progress)
+COLUMNS = ["window_start", "market_id", "snapshot_count", "avg_spread_pct", "total_market_volume"]
+
+
+def batch_violations(spark, everything, min_spread, min_volume):
+    """Closed windows that break the rules, from all rows at once."""
     batch = spark.createDataFrame(everything, BOOK).withColumn("window_start", F.date_trunc("hour", "ts"))
-    # the last event is at 08:30, so with 10 minutes of delay the hour from 08:00 is still open
-    wanted = rule_violations(market_stats(batch, "window_start", "market_id"), 0.5, 100000).filter(
-        F.col("window_start") < F.lit(START + timedelta(hours=8)))
-    order = ["window_start", "market_id"]
-    columns = order + ["snapshot_count", "avg_spread_pct", "total_market_volume"]
-    got = rows(spark.read.parquet(out).select(*columns), *order)
-    assert 0 < len(got) < 24
-    assert got == rows(wanted.select(*columns), *order)
-
-
-def test_snapshots_later_than_the_delay_are_dropped(spark, tmp_path, rows):
-    source, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
-
-    def snapshot(i, hour, minute):
-        return ("m", i, START + timedelta(hours=hour, minutes=minute), 0.5, 0.5, 1)
-    # the first two files close hour 0 before its last snapshot arrives with the third
-    for new in ([snapshot(1, 0, 5), snapshot(2, 1, 5)], [snapshot(3, 1, 20)],
-                [snapshot(4, 0, 59), snapshot(5, 1, 1), snapshot(6, 3, 0)]):
-        arrive(spark, source, new, BOOK)
-        streams.land(streams.order_book_stream(streams.read_stream(spark, str(source), BOOK)), out, progress)
-    got = spark.read.parquet(out).select(F.hour("window_start").alias("hour"), "snapshot_count")
-    assert rows(got, "hour") == [(0, 1), (1, 3)]
-
-
-@pytest.mark.parametrize("salts", [1, 4])
-def test_each_materialization_triggers_once(spark, tmp_path, rows, salts):
-    source, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
+    last = max(r[2] for r in everything) - timedelta(minutes=10)
+    return [r for r in map(tuple, rule_violations(market_stats(batch, "window_start", "market_id"), min_spread, min_volume)
+                           .select(*COLUMNS).orderBy("window_start", "market_id").collect())
+            if r[0] + timedelta(hours=1) <= last]
+
+
+def test_order_book_of_two_streams_in_any_order(spark, tmp_path, rows):
+    """Eight files in eight batches, dealt to two checkpoints, the oldest snapshots last, with a restart."""
+    everything = book_rows(0, 30)
+    random.Random(1).shuffle(everything)
+    everything.sort(key=lambda r: r[2] < START + timedelta(hours=2))
+    files = [everything[i::8] for i in range(7)] + [everything[7::8]]
+    out = str(tmp_path / "out")
+    for turn in range(2):
+        for name, own in (("a", files[:3]), ("b", files[3:])):
+            for part in own[turn::2]:
+                arrive(spark, tmp_path / name, part, BOOK)
+            book = streams.read_stream(spark, str(tmp_path / name), BOOK, files_per_batch=1)
+            totals = streams.order_book_stream(book, out, str(tmp_path / f"progress-{name}"), 0.5, 100000)
+    got = rows(streams.violations(spark, out).select(*COLUMNS), "window_start", "market_id")
+    want = batch_violations(spark, everything, 0.5, 100000)
+    assert 0 < len(got) < 90 and [r[:3] + r[4:] for r in got] == [r[:3] + r[4:] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want])
+    log = totals.log(spark).agg(F.sum("rows"), F.sum("late"), F.count("batch")).first()
+    assert log[0] == len(everything) and log[1] > 0 and log[2] == 8
+    assert totals.totals(spark).agg(F.sum("snapshot_count")).first()[0] == len(everything)
+
+
+def test_a_violation_goes_when_late_volume_comes(spark, tmp_path):
+    out, source, progress = str(tmp_path / "out"), tmp_path / "in", str(tmp_path / "progress")
+    found = []
+    for hour, volume in ((0, 1), (5, 1), (0, 10**6)):
+        arrive(spark, source, [("m", hour, START + timedelta(hours=hour), 0.5, 0.6, volume)], BOOK)
+        streams.order_book_stream(streams.read_stream(spark, str(source), BOOK), out, progress, 0.0, 1000)
+        found.append(streams.violations(spark, out).count())
+    assert found == [0, 1, 0]
+
+
+def test_a_batch_that_runs_again_counts_once(spark, tmp_path):
+    """Also if the first run was lost after it wrote, and after later batches of another stream."""
+    totals = streams.alert_totals(str(tmp_path))
+    day = lambda d, n: spark.createDataFrame([("a", i, START + timedelta(days=d, hours=i), True, 0.5) for i in range(n)], EVENTS)
+    for source, batch, rows in (("x", 0, day(0, 3)), ("x", 1, day(0, 4)), ("x", 1, day(0, 4)), ("y", 0, day(0, 5)),
+                                ("x", 1, day(0, 4)), ("x", 2, day(1, 2)), ("x", 3, day(0, 1)), ("x", 3, day(0, 1))):
+        totals.add(rows, batch, source)
+    got = {r.window_start: (r.records, r["sum"]) for r in totals.totals(spark).collect()}
+    assert got == {START: (13, 6.5), START + timedelta(days=1): (2, 1.0)}
+    assert totals.log(spark).agg(F.sum("rows"), F.sum("late")).first() == (15, 1)
+    assert totals.add(day(0, 0), 4, "x") is None
+
+
+def test_rows_without_a_time_are_in_no_window(spark, tmp_path):
+    totals = streams.alert_totals(str(tmp_path))
+    rows = spark.createDataFrame([("a", 1, None, True, 1.0), ("a", 2, START, True, None)], EVENTS)
+    assert totals.add(rows, 0, "x") is not None
+    assert [(r.records, r["sum"], r["values"]) for r in totals.totals(spark).collect()] == [(1, None, 0)]
+
+
+def test_alerts_add_up_over_streams(spark, tmp_path, rows):
+    """Two inputs of the same days, each under its own checkpoint, and a restart of each."""
+    out = str(tmp_path / "out")
+    for turn in range(2):
+        for name, value in (("one", 0.125), ("two", 0.5)):
+            arrive(spark, tmp_path / name, [("a", i, START + timedelta(days=turn, hours=i), True, value) for i in range(3)], EVENTS)
+            arrive(spark, tmp_path / name, [("a", 9, START + timedelta(days=5), True, 1.0)], EVENTS)
+            events = streams.read_stream(spark, str(tmp_path / name), EVENTS, files_per_batch=1)
+            streams.alert_stream(events, out, str(tmp_path / f"progress-{name}"), "daily")
+    got = rows(streams.alerts(spark, out).select("window_start", "records", "sum", "average", "stream"), "window_start")
+    assert got == [(START, 6, 1.875, 0.31, "daily"), (START + timedelta(days=1), 6, 1.875, 0.31, "daily")]
+    # nothing new arrived: nothing changes
+    streams.alert_stream(streams.read_stream(spark, str(tmp_path / "one"), EVENTS), out, str(tmp_path / "progress-one"), "daily")
+    assert streams.alerts(spark, out).count() == 2
+
+
+def test_each_materialization_triggers_once(spark, tmp_path, rows):
+    """Also a year later, in another stream, and behind events of any time."""
+    out = str(tmp_path / "out")
     watch = spark.createDataFrame([("a", "job_a"), ("a", "job_b"), ("c", "job_c")], "asset string, job string")
     first = [("a", 1, START, True, 0.0), ("b", 2, START, True, 0.0), ("a", 3, START, False, 0.0),
              ("a", 1, START, True, 0.0)]
-    second = [("a", 1, START, True, 0.0)] * 500 + [("c", 4, START + timedelta(hours=1), True, 0.0)]
-    for new in (first, second):
-        arrive(spark, source, new, EVENTS)
-        events = streams.read_stream(spark, str(source), EVENTS, files_per_batch=1)
-        streams.land(streams.trigger_stream(events, watch, salts=salts), out, progress)
-    assert rows(spark.read.parquet(out).select("run_key", "asset"), "run_key") == [
-        ("job_a:1", "a"), ("job_b:1", "a"), ("job_c:4", "c")]
-
-
-def test_landing_is_exactly_once(spark, tmp_path):
-    source, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
-    for day in range(3):
-        arrive(spark, source, [("a", day * 10 + i, START + timedelta(days=day, hours=i), True, 1.0)
-                               for i in range(10)], EVENTS)
-        for _ in range(2):
-            streams.ingest_stream(streams.read_stream(spark, str(source), EVENTS), out, progress)
-    stored = spark.read.parquet(out)
-    assert stored.count() == 30 and stored.select("event_id").distinct().count() == 30
-    assert stored.select("date", "hour").distinct().count() == 30
-
-
-def test_alerts_are_not_doubled(spark, tmp_path, rows):
-    source, out = tmp_path / "in", str(tmp_path / "out")
-    for day in range(3):
-        arrive(spark, source, [("a", i, START + timedelta(days=day, hours=i), True, 0.125 * (day + 1))
-                               for i in range(3)], EVENTS)
-    # a second stream without memory of the first replays the same batches under the same name
-    for progress in ("one", "two"):
-        totals = streams.windowed_totals(streams.read_stream(spark, str(source), EVENTS))
-        streams.alert_stream(totals, out, str(tmp_path / progress), "daily")
-    got = rows(spark.read.parquet(out).select("window_start", "records", "sum", "average", "stream"),
-               "window_start")
-    assert got == [(START, 3, 0.375, 0.12, "daily"), (START + timedelta(days=1), 3, 0.75, 0.25, "daily")]
-
-
-def test_alerts_of_another_run_stay(spark, tmp_path, rows):
-    out = str(tmp_path / "out")
-    for run, first in (("one", 0), ("two", 10), ("three", 10)):
-        source = tmp_path / run
-        arrive(spark, source, [("a", day, START + timedelta(days=first + day), True, 1.0) for day in range(3)], EVENTS)
-        totals = streams.windowed_totals(streams.read_stream(spark, str(source), EVENTS))
-        streams.alert_stream(totals, out, str(tmp_path / f"progress-{run}"), "daily")
-    got = rows(spark.read.parquet(out).select("window_start", "records"), "window_start")
-    assert got == [(START + timedelta(days=day), 1) for day in (0, 10)]
-
-
-@pytest.mark.parametrize("kind", ["order_book", "trigger", "alerts"])
-def test_late_rows_are_not_dropped_silently(spark, tmp_path, kind):
-    source, out = tmp_path / "in", str(tmp_path / "out")
-
-    def run(progress, per_batch, strict):
-        progress = str(tmp_path / progress)
-        if kind == "order_book":
-            book = streams.read_stream(spark, str(source), BOOK, files_per_batch=per_batch)
-            return streams.land(streams.order_book_stream(book), out + progress[-1], progress, strict=strict)
-        events = streams.read_stream(spark, str(source), EVENTS, files_per_batch=per_batch)
-        if kind == "trigger":
-            watch = spark.createDataFrame([("a", "job_a")], "asset string, job string")
-            return streams.land(streams.trigger_stream(events, watch), out + progress[-1], progress, strict=strict)
-        return streams.alert_stream(streams.windowed_totals(events), out + progress[-1], progress, "daily", strict=strict)
-
-    for i, day in enumerate((0, 5, 9, 1)):
-        at = START + timedelta(days=day)
-        if kind == "order_book":
-            arrive(spark, source, [("m", i, at, 0.5, 0.5, 1)], BOOK)
-        else:
-            arrive(spark, source, [("a", i, at, True, 1.0)], EVENTS)
-    assert run("progress-1", None, True) == 0
-    assert run("progress-2", 1, False) == 1
-    with pytest.raises(streams.LateRows):
-        run("progress-3", 1, True)
-
-
-def test_a_watermark_needs_a_cast(spark, tmp_path):
+    second = [("a", 1, START, True, 0.0)] * 500 + [("c", 4, START + timedelta(days=400), True, 0.0)]
+    third = [("a", 1, START + timedelta(days=401), True, 0.0), ("a", 5, START - timedelta(days=900), True, 0.0)]
+    for name, files in (("x", [first, second]), ("x", [third]), ("y", [first, second, third])):
+        for new in files:
+            arrive(spark, tmp_path / name, new, EVENTS)
+        events = streams.read_stream(spark, str(tmp_path / name), EVENTS, files_per_batch=1)
+        streams.trigger_stream(events, watch, out, str(tmp_path / f"progress-{name}"), prefixes=4)
+    assert rows(streams.run_ledger(spark, out).select("run_key", "asset"), "run_key") == [
+        ("job_a:1", "a"), ("job_a:5", "a"), ("job_b:1", "a"), ("job_b:5", "a"), ("job_c:4", "c")]
+
+
+def test_landing_is_exactly_once_in_few_files(spark, tmp_path):
+    out, progress, schema = str(tmp_path / "out"), str(tmp_path / "progress"), EVENTS
+    events = [("a", i, START + timedelta(minutes=7 * i), True, 1.0) for i in range(120)]
+    landed = lambda: streams.landed(spark, out, schema)
+    for i in range(8):
+        arrive(spark, tmp_path / "in", events[i::8], EVENTS)
+    for _ in range(2):
+        streams.ingest_stream(streams.read_stream(spark, str(tmp_path / "in"), EVENTS, files_per_batch=1), out, progress)
+    assert landed().count() == 120 and landed().select("event_id").distinct().count() == 120
+    # the last hours are not over yet
+    streams.compact_hours(spark, out, schema, START + timedelta(hours=12))
+    files = lambda name: len(list((tmp_path / "out" / name).rglob("*.parquet")))
+    assert files("closed") == 12 and landed().count() == 120
+    assert landed().select("event_id").distinct().count() == 120
+    # a batch that runs again, and late rows of a closed hour
+    again = spark.createDataFrame(events[0::8], EVENTS)
+    part = spark.read.parquet(f"{out}/closed").filter("event_id = 0").first().part
+    streams.write_partition(streams.with_hour(again).withColumn("part", F.lit(part)), f"{out}/arrived", "date", "hour", "part")
+    assert landed().count() == 120
+    arrive(spark, tmp_path / "in", [("late", 1000, START, True, 1.0)], EVENTS)
+    streams.ingest_stream(streams.read_stream(spark, str(tmp_path / "in"), EVENTS), out, progress)
+    assert landed().count() == 121
+    streams.compact_hours(spark, out, schema, START + timedelta(hours=24))
+    assert landed().count() == 121 and landed().select("event_id").distinct().count() == 121
+    assert files("closed") == 14 and files("arrived") == 0
+
+
+def test_a_zone_less_time_needs_a_cast(spark, tmp_path):
     arrive(spark, tmp_path / "in", [(datetime(2024, 1, 1), 1.0)], "ts timestamp_ntz, value double")
     raw = streams.read_stream(spark, str(tmp_path / "in"), "ts timestamp_ntz, value double")
     assert streams.event_time(raw).schema["ts"].dataType.simpleString() == "timestamp"
-    with pytest.raises(Exception):
-        raw.withWatermark("ts", "1 minute").groupBy(F.window("ts", "1 hour")).count()
