@@ -131,13 +131,13 @@ def with_hour(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def ingest_stream(src: DataFrame, path: str, checkpoint_dir: str, ts: str = "ts") -> None:
-    """Land arrived events as Parquet, one folder per date, hour and batch.
+    """Land arrived events as Parquet, one folder per date and batch; ``compact_hours`` makes the hours.
 
-    The rows of an hour are brought together first, and Spark splits a large hour. A batch
-    that runs again replaces its own folders.
+    The rows of a date are brought together first, and Spark splits a large one. A batch that
+    runs again replaces its own folders.
     """
     _run_batches(with_hour(src, ts), checkpoint_dir, lambda batch, part: write_partition(
-        batch.withColumn("part", F.lit(part)), f"{path}/arrived", "date", "hour", "part", rebalance=True))
+        batch.withColumn("part", F.lit(part)), f"{path}/arrived", "date", "part", rebalance=True))
 
 
 def _landed(spark: SparkSession, path: str, schema) -> tuple[DataFrame, DataFrame]:
@@ -168,8 +168,9 @@ def compact_hours(spark: SparkSession, path: str, schema, before: datetime) -> N
     """Bring the batches of every hour over by ``before`` (UTC) together into few files.
 
     A new generation of an hour is written beside the one before and keeps the name of the
-    batch of each row. Readers leave out arrived folders whose batch a closed hour holds, so
-    at any moment each event is seen once. What is no longer read is deleted last.
+    batch of each row. Readers leave out arrived rows of batches that the closed hour holds, so
+    at any moment each event is seen once. Arrived folders all of whose hours are held, and
+    generations before the newest, are deleted last.
     """
     arrived, closed = _landed(spark, path, schema)
     over = F.to_timestamp_ntz(F.concat_ws(" ", "date", F.lpad(F.col("hour").cast("string"), 2, "0")), F.lit("yyyy-MM-dd HH"))
@@ -185,8 +186,9 @@ def compact_hours(spark: SparkSession, path: str, schema, before: datetime) -> N
     kept = closed.select("date", "hour", "gen", "part").distinct()
     old = stored_partitions(spark, f"{path}/closed", "date string, hour int, gen int").join(
         kept.groupBy("date", "hour").agg(F.max("gen").alias("newest")), ["date", "hour"]).filter("gen < newest")
-    done = stored_partitions(spark, f"{path}/arrived", "date string, hour int, part string").join(
-        kept.select("date", "hour", "part"), ["date", "hour", "part"], "left_semi")
+    there = stored_partitions(spark, f"{path}/arrived", "hour int, date string, part string").distinct()
+    there = there.join(kept.select("date", "hour", "part", F.lit(True).alias("held")), ["date", "hour", "part"], "left")
+    done = there.groupBy("_folder").agg(F.every(F.coalesce("held", F.lit(False))).alias("all")).filter("all")
     remove(spark, *folders_of(done), *folders_of(old))
 
 
