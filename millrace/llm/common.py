@@ -13,6 +13,8 @@ from millrace.session import shared_dir
 GAPS = " \t\n\x0b\x0c\r"
 GAP_PATTERN = r"[\x20\x09-\x0D]+"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = 1000
+_BATCH_SIZE = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,7 +58,15 @@ def worker_memo(key: tuple, make):
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """Written to the shared folder and read again: computed once, safe from lost executors."""
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Written to the shared folder and read again: computed once, safe from lost executors.
+
+    Meanwhile Python workers get batches of BATCH_ROWS rows at most: texts are long.
+    """
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, purpose)
+    rows = spark.conf.get(_BATCH_SIZE)
+    spark.conf.set(_BATCH_SIZE, str(min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_SIZE, rows)
+    return spark.read.schema(df.schema).parquet(path)

@@ -27,6 +27,9 @@ SIMILAR = 80
 PARTS = 3
 BLOCK = 1024
 BROADCAST_IDS = 1_000_000
+#: what a task holds before it sends a block on, and names of sets it has signed, some 20 MB each
+BLOCK_SIGNATURES = 500_000
+SEEN_SETS = 200_000
 
 
 class Bands:
@@ -138,12 +141,12 @@ def _signer(partitions: int):
                 node = set_id(shingles)
                 if node in seen or not len(signed := bands.signatures(shingles)):
                     continue
-                if len(seen) < 500_000:
+                if len(seen) < SEEN_SETS:
                     seen.add(node)
                 signatures.append(signed)
                 nodes.append(node)
                 held += len(signed)
-            if held > 2_000_000:
+            if held > BLOCK_SIGNATURES:
                 yield from blocks()
                 signatures, nodes, held = [], [], 0
         if held:

@@ -26,6 +26,8 @@ GRAM = 50
 STRETCH = 512
 SLICE = 1 << 20
 SORTED = 1 << 19
+#: stretches that a task remembers to have sent
+KEPT_BYTES = 32 << 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -157,7 +159,7 @@ def _sender(partitions: int):
         all its windows; only that is passed on.
         """
         kept: dict[tuple[int, bytes], tuple[int, int]] = {}
-        held, size = [], 0
+        held, size, room = [], 0, KEPT_BYTES
 
         def blocks():
             by_home: dict[int, list] = {}
@@ -179,9 +181,11 @@ def _sender(partitions: int):
                     earlier = kept.get((key, piece))
                     known = earlier is not None and earlier < doc
                     if not known:
-                        if len(kept) > 200_000:
+                        if room < len(piece):
                             kept.clear()
+                            room = KEPT_BYTES
                         kept[key, piece] = doc
+                        room -= len(piece) + 200
                     held.append((key, doc, version, begin, end - begin + 1, b"" if known else piece, known))
                     size += 60 + len(held[-1][5])
                 if size > 8_000_000:
