@@ -1,4 +1,4 @@
-"""Data-quality checks. All checks on a table share one scan and one aggregate."""
+"""Data-quality checks. Those on a table share one scan and one aggregate."""
 
 from __future__ import annotations
 
@@ -53,8 +53,6 @@ def _measure(kind: str, column: str) -> Column:
     c = F.col(column)
     if kind == "null_check":
         return F.count_if(c.isNull())
-    if kind == "unique_check":
-        return (F.count(c) == F.count_distinct(c)).cast("int")
     if kind == "min":
         return F.min(c)
     if kind == "max":
@@ -62,6 +60,13 @@ def _measure(kind: str, column: str) -> Column:
     raise ValueError(f"unknown column check {kind!r}")
 
 
+def _all_differ(df: DataFrame, column: str) -> DataFrame:
+    """One row: 1 if no value stands in two rows, else 0."""
+    counts = df.select(F.col(column).alias("value")).filter("value IS NOT NULL").groupBy("value").agg(
+        F.count(F.lit(1)).alias("n"))
+    return counts.agg((F.coalesce(F.max("n"), F.lit(1)) == 1).cast("int").alias("differ"))
+
+
 def _holds(observed: Column, bounds: dict) -> Column:
     tests = []
     for name, bound in bounds.items():
@@ -81,14 +86,25 @@ def run_checks(df: DataFrame, columns: dict[str, dict[str, dict]] | None = None,
     on one check must all hold; a bound is a value or a Column. ``unique_check``
     is 1 when all non-null values differ, else 0. A check on an empty column
     has nothing to observe and fails.
+
+    All checks but ``unique_check`` share one scan and one aggregate. Each ``unique_check``
+    reads its column alone: rows are counted per value, in each task first, and the largest
+    count decides. So no row is copied for each column, and a frequent value is one row a task.
     """
-    specs = [(f"{column}_{kind}", column, kind, _measure(kind, column), bounds)
+    specs = [(f"{column}_{kind}", column, kind, None if kind == "unique_check" else _measure(kind, column), bounds)
              for column, checks in (columns or {}).items() for kind, bounds in checks.items()]
     specs += [(name, None, name, F.count(F.lit(1)), bounds)
               for name, bounds in (table or {}).items()]
     if not specs:
         raise ValueError("no checks given")
-    measured = df.agg(*[m.alias(f"m{i}") for i, (_, _, _, m, _) in enumerate(specs)])
+    shared = [m.alias(f"m{i}") for i, (_, _, _, m, _) in enumerate(specs) if m is not None]
+    parts = [df.agg(*shared)] if shared else []
+    parts += [_all_differ(df, column).withColumnRenamed("differ", f"m{i}")
+              for i, (_, column, _, m, _) in enumerate(specs) if m is None]
+    # one row each, put side by side
+    measured = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if len(parts) > 1:
+        measured = measured.agg(*[F.first(c, ignorenulls=True).alias(c) for c in measured.columns])
     rows = [F.struct(F.lit(name).alias("check"), F.lit(column).cast("string").alias("column"),
                      F.lit(kind).alias("kind"), F.col(f"m{i}").cast("string").alias("observed"),
                      _holds(F.col(f"m{i}"), bounds).alias("passed"))

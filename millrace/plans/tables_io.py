@@ -16,7 +16,7 @@ from millrace.plans.tables import (TABLES, V_CUST, V_EDGES, V_PIPELINE, customer
                                    pipeline_edges)
 from millrace.session import shared_dir
 from millrace.sources import readers, writers
-from millrace.sources.assets import materialize, read_log
+from millrace.sources.assets import compact_logs, materialize, read_asset, read_log
 
 
 @query("src_json_records", """
@@ -90,6 +90,14 @@ def sink_csv_preview(t):
     return t.spark.read.schema(part.schema).option("header", True).csv(path)
 
 
+@query("sink_csv_preview_rows", f"""
+SELECT *, (SELECT count(*) FROM part) AS row_count FROM ({PART}) ORDER BY p_partkey DESC LIMIT 5""")
+def sink_csv_preview_rows(t):
+    """What is logged of a written CSV table: its row count and first rows."""
+    count, preview = writers.save_csv(t.part, shared_dir(t.spark, "csv"), [F.desc("p_partkey")])
+    return preview.withColumn("row_count", F.lit(count).cast("bigint"))
+
+
 @query("sink_json", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
@@ -163,20 +171,59 @@ FROM facts, (VALUES ('not_empty', TRUE, NULL, NULL),
                     ('has_name', FALSE, 'not evaluated (prior assert failed)', NULL))
      AS v(check_name, passed, status, error)""", (V_CUST,))
 def materialize_customers(t):
+    _, logs = _materialized(t)
+    runs = read_log(t.spark, "materializations", logs).filter("row_count > 0").select(
+        "uri", F.array_join("key", "/").alias("asset_key"), "row_count")
+    checks = read_log(t.spark, "checks", logs).drop("ord")
+    return runs.join(checks, "uri")
+
+
+def _materialized(t):
+    """An empty version without checks, then one of all customers; logs are compacted in between."""
     path, logs = shared_dir(t.spark, "customers"), shared_dir(t.spark, "logs")
+    rows = customers(t)
+    materialize(rows.filter("false"), URI, path, logs, datetime(2024, 1, 30, tzinfo=timezone.utc))
+    compact_logs(t.spark, logs)
     materialize(
-        customers(t), URI, path, logs, datetime(2024, 1, 31, tzinfo=timezone.utc),
+        rows, URI, path, logs, datetime(2024, 1, 31, tzinfo=timezone.utc),
         deps=["postgres://warehouse/public/customers"],
         checks=[("not_empty", F.lit(True), "no customers"),
                 ("tier_known", F.col("tier").isin("enterprise", "standard"), "unknown tier"),
                 ("all_enterprise", F.col("tier") == "enterprise",
                  "only enterprise customers expected"),
                 ("has_name", F.col("name") != "", "customer without a name")],
-        metadata={"source": "customer"})
-    runs = read_log(t.spark, "materializations", logs).select(
-        "uri", F.array_join("key", "/").alias("asset_key"), "row_count")
-    checks = read_log(t.spark, "checks", logs).drop("ord")
-    return runs.join(checks, "uri")
+        metadata={"source": "customer"}, preview_order=["customer_id"])
+    return path, logs
+
+
+@query("materialize_logs", f"""
+, n AS (SELECT count(*) AS n FROM v_cust)
+SELECT 'columns' AS log, '{URI}' AS uri, k AS ord, c AS name, t AS value, v AS runs
+FROM (VALUES (0, 'customer_id', 'bigint', 2), (1, 'name', 'string', 2), (2, 'region', 'string', 2), (3, 'tier', 'string', 2)) x(k, c, t, v)
+UNION ALL SELECT 'edges', '{URI}', 0, 'postgres://warehouse/public/customers', NULL, 1
+UNION ALL SELECT 'metadata', '{URI}', NULL, 'source', 'customer', 1
+UNION ALL SELECT 'metadata', '{URI}', NULL, 'row_count', CAST(n AS VARCHAR), 1 FROM n
+UNION ALL SELECT 'metadata', '{URI}', NULL, 'row_count', '0', 1
+UNION ALL (SELECT 'previews', '{URI}', CAST(row_number() OVER (ORDER BY customer_id) - 1 AS INTEGER), NULL,
+       CAST(to_json({{'customer_id': customer_id, 'name': name, 'region': region, 'tier': tier}}) AS VARCHAR), 1
+  FROM v_cust ORDER BY customer_id LIMIT 10)""", (V_CUST,))
+def materialize_logs(t):
+    """Profile, inputs, metadata and preview of both versions; ``runs`` counts equal rows."""
+    _, logs = _materialized(t)
+    log = lambda name, column, value, ord="ord": read_log(t.spark, name, logs).select(
+        F.lit(name).alias("log"), F.col("uri" if name != "edges" else "consumer").alias("uri"), F.expr(ord).cast("int").alias("ord"),
+        F.expr(column).cast("string").alias("name"), F.expr(value).cast("string").alias("value"))
+    rows = [log("columns", "column", "type"), log("edges", "dep", "null"), log("metadata", "key", "value", "null"),
+            log("previews", "null", "row")]
+    return reduce(DataFrame.unionByName, rows).groupBy("log", "uri", "ord", "name", "value").agg(
+        F.count(F.lit(1)).cast("int").alias("runs"))
+
+
+@query("materialize_newest", "SELECT * FROM v_cust", (V_CUST,))
+def materialize_newest(t):
+    """What a reader of the asset sees."""
+    _, logs = _materialized(t)
+    return read_asset(t.spark, URI, logs)
 
 
 SPARK_TYPES = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'

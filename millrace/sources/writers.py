@@ -15,18 +15,17 @@ OUTPUT_FORMATS = ("json", "csv", "xml")
 CSV_PREVIEW_ROWS = 5
 
 
-def save_csv(df: DataFrame, path: str) -> tuple[int, DataFrame]:
+def save_csv(df: DataFrame, path: str, order: list[Column | str] | None = None) -> tuple[int, DataFrame]:
     """Write CSV with a header; return the row count and a frame of first rows.
 
-    The count is observed while writing, so the input is computed once. The
-    preview reads the written files, in file order.
+    The count is observed while writing, so the input is computed once. The preview reads
+    the written files: their first rows in an order if one is given, else as they come.
     """
     seen = Observation()
     (df.observe(seen, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("header", True).csv(path))
-    preview = (df.sparkSession.read.schema(df.schema).option("header", True).csv(path)
-               .limit(CSV_PREVIEW_ROWS))
-    return seen.get["rows"], preview
+    stored = df.sparkSession.read.schema(df.schema).option("header", True).csv(path)
+    return seen.get["rows"], (stored.orderBy(*order) if order else stored).limit(CSV_PREVIEW_ROWS)
 
 
 def save_json(df: DataFrame, path: str) -> None:

@@ -136,8 +136,8 @@ def test_materialize(spark, tmp_path, rows):
     passed = assets.materialize(
         df, "s3://lake/orders.parquet", path, logs, at, deps=["b", "a", "b"],
         checks=[("present", F.lit(True), "empty"), ("positive", F.col("amount") > 0, "must be positive"),
-                ("later", F.lit(True), "")], metadata={"row_count": "many", "by": "me"})
-    assert passed is False and spark.read.parquet(path).count() == 2
+                ("later", F.lit(True), "")], metadata={"row_count": "many", "by": "me"}, preview_order=["id"])
+    assert passed is False and assets.read_asset(spark, "s3://lake/orders.parquet", logs).count() == 2
     assert rows(assets.read_log(spark, "materializations", logs).select("row_count", "passed", "key")) == [
         (2, False, ["s3", "lake", "orders", "parquet"])]
     assert rows(assets.read_log(spark, "checks", logs).select("check", "passed", "status", "error", "ord"), "ord") == [
@@ -146,8 +146,62 @@ def test_materialize(spark, tmp_path, rows):
     assert rows(assets.read_log(spark, "edges", logs).select("dep", "ord"), "ord") == [("b", 0), ("a", 1)]
     assert rows(assets.read_log(spark, "metadata", logs).select("key", "value"), "key") == [
         ("by", "me"), ("row_count", "many")]
+    assert [r.row for r in assets.read_log(spark, "previews", logs).orderBy("ord").collect()] == [
+        '{"id":1,"amount":10}', '{"id":2,"amount":-1}']
     assert assets.materialize(df, "u", path, logs, at) is True
     assert assets.read_log(spark, "materializations", logs).count() == 2
+    with pytest.raises(LookupError):
+        assets.read_asset(spark, "s3://lake/orders.parquet", logs, passed_only=True)
+    with pytest.raises(LookupError):
+        assets.read_asset(spark, "v", logs)
+
+
+@pytest.mark.parametrize("fails_at", ["checks", "write", "publish"])
+def test_a_failed_run_leaves_the_last_version(spark, tmp_path, monkeypatch, fails_at):
+    logs, path, at = str(tmp_path / "logs"), str(tmp_path / "t"), datetime(2024, 1, 1, tzinfo=timezone.utc)
+    assets.materialize(spark.range(3), "u", path, logs, at)
+    df, checks = spark.range(9), []
+    if fails_at == "write":
+        df = df.select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("bigint")).alias("id"))
+    elif fails_at == "checks":
+        checks = [("boom", F.raise_error(F.lit("lost")).cast("boolean"), "")]
+    else:
+        def fail(*a):
+            raise OSError("lost")
+        monkeypatch.setattr(assets, "_publish", fail)
+    with pytest.raises(Exception, match="lost"):
+        assets.materialize(df, "u", path, logs, at.replace(day=2), checks=checks)
+    monkeypatch.undo()
+    for _ in range(2):
+        assert assets.read_asset(spark, "u", logs).count() == 3
+        assert assets.read_log(spark, "materializations", logs).count() == 1
+        assert assets.read_log(spark, "columns", logs).count() == 1
+        assets.compact_logs(spark, logs)
+    assets.materialize(spark.range(5), "u", path, logs, at.replace(day=3))
+    assert assets.read_asset(spark, "u", logs).count() == 5
+
+
+def test_compacted_logs_hold_each_row_once(spark, tmp_path, monkeypatch):
+    logs, path, at = str(tmp_path / "logs"), str(tmp_path / "t"), datetime(2024, 1, 1, tzinfo=timezone.utc)
+    assets.compact_logs(spark, logs)
+    for day in range(1, 4):
+        assets.materialize(spark.range(day), "u", path, logs, at.replace(day=day))
+    counts = lambda: [assets.read_log(spark, log, logs).count() for log in assets._LOGS]
+    before = counts()
+    # lost before anything is deleted: entries and the generation hold the same rows
+    monkeypatch.setattr(assets, "remove", lambda *a: None)
+    assets.compact_logs(spark, logs)
+    assert counts() == before == [3, 0, 3, 3, 0, 6]
+    # lost while a generation is written: it has no marker
+    assets.compact_logs(spark, logs)
+    (tmp_path / "logs" / "compacted" / "gen=2" / "_SUCCESS").unlink()
+    assert counts() == before
+    monkeypatch.undo()
+    assets.compact_logs(spark, logs)
+    assert counts() == before and not list((tmp_path / "logs" / "entries").rglob("*.parquet"))
+    assert len(list((tmp_path / "logs" / "compacted").iterdir())) <= 1 + 1
+    assert assets.drop_versions(spark, "u", logs, keep=2) == 1 and assets.drop_versions(spark, "u", logs, keep=2) == 0
+    assert assets.read_asset(spark, "u", logs).count() == 3
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):

@@ -56,12 +56,16 @@ def test_market_rules_read_what_they_need_and_combine_first(t, plan_of):
     assert plan.count("Exchange") == 1 and "partial_sum" in plan
 
 
-def test_all_checks_share_one_scan(t, plan_of):
+def test_checks_share_one_scan_and_copy_no_rows(t, plan_of):
     plan = plan_of(quality.run_checks(
-        t.customer, {"c_name": {"null_check": {"equals": 0}, "unique_check": {"equals": 1}},
-                     "c_mktsegment": {"unique_check": {"equals": 1}},
-                     "c_acctbal": {"min": {"greater_than": 0}}}, {"row_count_check": {"greater_than": 0}}))
+        t.customer, {"c_name": {"null_check": {"equals": 0}}, "c_acctbal": {"min": {"greater_than": 0}, "max": {"less_than": 9}}},
+        {"row_count_check": {"greater_than": 0}}))
     assert plan.count("FileScan") == 1
+    plan = plan_of(quality.run_checks(
+        t.customer, {c: {"unique_check": {"equals": 1}, "null_check": {"equals": 0}} for c in ("c_name", "c_mktsegment", "c_custkey")}))
+    assert "Expand" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    scans = [s.split(">")[0] for s in plan.split("ReadSchema: struct<")[1:]]
+    assert len(scans) == 4 and sum("," not in s for s in scans) == 3
 
 
 def test_dedupe_limits_groups_before_the_shuffle(t, plan_of):
