@@ -158,6 +158,16 @@ def with_missing_message(df: DataFrame, key: str, missing: str = "missing") -> D
                           F.lit(" missing fields: "), F.array_join(missing, ", ")))
 
 
+def required_in_variant(df: DataFrame, record: str, fields: list[str]) -> DataFrame:
+    """Adds ``missing`` and ``nulls``: required fields that a VARIANT record does not have, or has as null.
+
+    A null record has none of them.
+    """
+    value = lambda f: F.try_variant_get(F.col(record), f"$.{f}", "variant")
+    named = lambda test: F.array_compact(F.array(*[F.when(test(value(f)), F.lit(f)) for f in fields]))
+    return df.withColumns({"missing": named(lambda v: v.isNull()), "nulls": named(lambda v: F.is_variant_null(v))})
+
+
 def ordered_checks(df: DataFrame, checks: list[tuple[str, Column, str]], by: list[str],
                    expected: DataFrame | None = None) -> DataFrame:
     """Ordered assertions per group, reported as if they stopped at the first failure.

@@ -55,7 +55,7 @@ def train_churn(features: DataFrame, columns: list[str], path: str,
         VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="error"),
         LogisticRegression(featuresCol="_features", labelCol=label, maxIter=max_rounds,
                            probabilityCol="_probability", rawPredictionCol="_margin",
-                           predictionCol="churn_predicted"),
+                           predictionCol="churn_predicted", tol=1e-9),
     ]).fit(features.select(*columns, F.col(label).cast("double").alias(label)))
     if model.stages[-1].summary.totalIterations >= max_rounds:
         raise RuntimeError(f"the churn model did not converge in {max_rounds} rounds")
@@ -63,7 +63,25 @@ def train_churn(features: DataFrame, columns: list[str], path: str,
     return PipelineModel.load(path)
 
 
-def score_churn(model: PipelineModel, df: DataFrame) -> DataFrame:
-    scored = model.transform(df)
-    return (scored.withColumn("churn_probability", vector_to_array("_probability")[1])
-            .drop("_features", "_margin", "_probability"))
+def score_churn(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Probability of churn, and 1 in ``churn_predicted`` where it is above the threshold, else 0."""
+    scored = model.transform(df).withColumn("churn_probability", vector_to_array("_probability")[1])
+    return scored.withColumn("churn_predicted", (F.col("churn_probability") > threshold).cast("double")).drop(
+        "_features", "_margin", "_probability")
+
+
+def moment_check(scored: DataFrame, columns: list[str], label: str = "churned", tolerance: float = 1e-3) -> DataFrame:
+    """(feature, actual, predicted, agrees): whether a logistic model stands at its optimum.
+
+    There the gradient is zero: over the rows it was trained on, probabilities and labels give
+    the same sum, and the same sum weighted with each feature. ``scored`` holds those rows
+    with their label and ``churn_probability``. Sums agree within ``tolerance`` of their size.
+    """
+    weights = {"": F.lit(1.0), **{c: F.col(c).cast("double") for c in columns}}
+    y = F.col(label).cast("double")
+    sums = scored.agg(*[F.sum(w * v).alias(f"{side}{i}") for i, w in enumerate(weights.values())
+                        for side, v in (("a", y), ("p", F.col("churn_probability")))])
+    rows = [F.struct(F.lit(name or "(rows)").alias("feature"), F.col(f"a{i}").alias("actual"), F.col(f"p{i}").alias("predicted"),
+                     (F.abs(F.col(f"p{i}") - F.col(f"a{i}")) <= tolerance * (1 + F.abs(F.col(f"a{i}")))).alias("agrees"))
+            for i, name in enumerate(weights)]
+    return sums.select(F.inline(F.array(*rows)))

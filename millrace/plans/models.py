@@ -71,19 +71,48 @@ def churn_features(t, until: str):
     return joins.feature_matrix(seen, dims, "user_id", EVENT_TYPES).fillna(0.0, ["balance"])
 
 
-@query("ml_churn")
-def ml_churn(t):
-    """Train on the time up to a day before now, score with all of it.
+CUT = "2024-01-30 00:00:00"
+
 
-    A user who does nothing in the last day of the data counts as churned: the
-    test users are all active every week.
-    """
-    cut = "2024-01-30 00:00:00"
-    active = t.events.filter(F.col("ts") >= F.lit(cut).cast("timestamp_ntz")).select(
+def churn_training(t):
+    """Features up to a day before now. A user who does nothing in the last day of the data
+    counts as churned: the test users are all active every week."""
+    active = t.events.filter(F.col("ts") >= F.lit(CUT).cast("timestamp_ntz")).select(
         "user_id").distinct().withColumn("_active", F.lit(True))
-    train = churn_features(t, cut).join(active, "user_id", "left").withColumn(
-        "churned", F.col("_active").isNull())
-    model = scoring.train_churn(train, CHURN_FEATURES, shared_dir(t.spark, "churn-model"))
+    return churn_features(t, CUT).join(active, "user_id", "left").withColumn("churned", F.col("_active").isNull()).drop("_active")
+
+
+def _trained(t):
+    train = churn_training(t)
+    return train, scoring.train_churn(train, CHURN_FEATURES, shared_dir(t.spark, "churn-model"))
+
+
+@query("ml_churn")
+def ml_churn(t):
+    """Train on the time up to a day before now, score with all of it."""
+    _, model = _trained(t)
     scored = scoring.score_churn(model, churn_features(t, NOW))
     return scored.select("user_id", F.round("churn_probability", 4).alias("churn_probability"),
                          "churn_predicted")
+
+
+@query("ml_churn_moments", f"""
+WITH x AS (
+  SELECT user_id, CAST(count(*) AS DOUBLE) AS events,
+         CAST(count(*) FILTER (WHERE event_type = 'click') AS DOUBLE) AS click_count,
+         CAST(count(*) FILTER (WHERE event_type = 'purchase') AS DOUBLE) AS purchase_count,
+         CAST(count(*) FILTER (WHERE event_type = 'error') AS DOUBLE) AS error_count,
+         coalesce(sum(value) FILTER (WHERE event_type = 'purchase'), 0) AS purchase_value
+  FROM events WHERE ts < TIMESTAMP '{CUT}' GROUP BY user_id),
+y AS (
+  SELECT x.*, coalesce(c_acctbal, 0) AS balance,
+         CASE WHEN user_id IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '{CUT}') THEN 0 ELSE 1 END AS churned
+  FROM x LEFT JOIN customer ON user_id = c_custkey),
+s AS (SELECT CAST(sum(churned) AS DOUBLE) AS n, """ + ", ".join(f"sum(churned * {c}) AS {c}" for c in CHURN_FEATURES) + """ FROM y)
+SELECT '(rows)' AS feature, round(n + 1e-7, 4) AS actual, TRUE AS agrees FROM s
+""" + "".join(f"UNION ALL SELECT '{c}', round({c} + 1e-7, 4), TRUE FROM s\n" for c in CHURN_FEATURES))
+def ml_churn_moments(t):
+    """Sums over churned users, which the model's probabilities give too."""
+    train, model = _trained(t)
+    check = scoring.moment_check(scoring.score_churn(model, train), CHURN_FEATURES)
+    return rounded(check.drop("predicted"))

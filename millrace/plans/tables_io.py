@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators import quality
 from millrace.operators.lineage import topo_levels, upstream
 from millrace.operators.partitions import assign_partition
 from millrace.operators.profile import merge_metadata, profile
@@ -37,6 +38,40 @@ def src_json_records(t):
     return readers.read_records(t.spark, path, "id bigint, value bigint", multi_line=False)
 
 
+DOCUMENT_RECORDS = 500
+
+
+@query("src_json_variant", f"""
+SELECT 'b' || (c_custkey // {DOCUMENT_RECORDS}) AS source,
+       CAST(row_number() OVER (PARTITION BY c_custkey // {DOCUMENT_RECORDS} ORDER BY c_custkey) - 1 AS INTEGER) AS pos,
+       c_custkey AS id, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance,
+       concat_ws(',', CASE WHEN c_acctbal < 0 THEN 'balance' END, CASE WHEN c_custkey % 3 = 0 THEN 'segment' END) AS missing,
+       CASE WHEN c_custkey % 3 = 1 THEN 'segment' ELSE '' END AS nulls
+FROM customer""")
+def src_json_variant(t):
+    """A pretty-printed document for every 500 customers, whose records differ in their fields.
+
+    A balance below zero is left out, and a segment is left out, null or there by turns."""
+    key = F.col("c_custkey")
+    segment = F.when(key % 3 == 0, "").when(key % 3 == 1, ',\n  "segment": null').otherwise(
+        F.concat(F.lit(',\n  "segment": "'), "c_mktsegment", F.lit('"')))
+    balance = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit(',\n  "balance": '), F.col("c_acctbal").cast("string"))).otherwise("")
+    record = F.concat(F.lit('{"id": '), key, balance, segment, F.lit("}"))
+    # keys are distinct, so a document has no more records than it may
+    lists = t.customer.groupBy(F.floor(key / DOCUMENT_RECORDS).alias("block")).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct(key, record.alias("text")))), lambda r: r["text"]), ",\n").alias("list"))
+    texts = lists.select(F.concat(F.lit('{\n"source": "b'), "block", F.lit('",\n"records": ['), "list", F.lit("]\n}")).alias("value"), "block")
+    path = shared_dir(t.spark, "variants")
+    # one document a file
+    texts.write.partitionBy("block").text(path)
+    records = readers.read_variant_records(t.spark, f"{path}/*")
+    checked = quality.required_in_variant(records, "record", ["id", "balance", "segment"])
+    return checked.select(
+        *readers.variant_fields(F.col("envelope"), {"source": "string"}), "pos",
+        *readers.variant_fields(F.col("record"), {"id": "bigint", "balance": "double"}),
+        F.array_join("missing", ",").alias("missing"), F.array_join("nulls", ",").alias("nulls"))
+
+
 @query("src_api_pages", """
 WITH listing AS (
   SELECT p_partkey * 2 AS id, p_name AS title, p_size AS n, p_brand, p_type FROM part

@@ -25,6 +25,26 @@ def read_records(spark: SparkSession, path: str, record_schema: str,
     return documents.select("extracted_at", F.inline("records"))
 
 
+def read_variant_records(spark: SparkSession, path: str, records: str = "records", multi_line: bool = True) -> DataFrame:
+    """(envelope, pos, record) of JSON documents whose fields are not known beforehand.
+
+    ``envelope`` is the whole document and ``record`` one element of its array, both as
+    VARIANT: records may differ in their fields, and a field that is null is told from one
+    that is not there. A document that is not JSON gives a row without envelope and record,
+    one without the array a row without record. A pretty-printed document is one file and is
+    read by one task; pass ``multi_line=False`` for JSON lines, which can be split.
+    """
+    texts = spark.read.text(path, wholetext=multi_line)
+    documents = texts.filter(F.trim("value") != "").select(F.try_parse_json("value").alias("envelope"))
+    listed = documents.withColumn("_list", F.try_variant_get("envelope", f"$.{records}", "array<variant>"))
+    return listed.select("envelope", F.posexplode_outer("_list").alias("pos", "record"))
+
+
+def variant_fields(record: Column, fields: dict[str, str]) -> list[Column]:
+    """Fields of a VARIANT as columns of given types; null where missing, null or of another type."""
+    return [F.try_variant_get(record, f"$.{name}", kind).alias(name) for name, kind in fields.items()]
+
+
 def flatten_pages(df: DataFrame, columns: tuple[str, ...] = ARTICLE_COLUMNS,
                   pages: str = "articles") -> DataFrame:
     """Pages of nested articles as one row per article with the named columns."""

@@ -66,3 +66,16 @@ def test_churn_model_learns(spark, tmp_path):
     scored = scoring.score_churn(model, df).collect()
     assert {r.churn_predicted == float(r.churned) for r in scored} == {True}
     assert all(0 <= r.churn_probability <= 1 for r in scored)
+
+
+def test_moments_agree_at_the_optimum_only(spark, tmp_path):
+    df = spark.createDataFrame([(float(i % 7), float(i % 5), (i * 7919) % 11 < 4) for i in range(400)],
+                               "visits double, noise double, churned boolean")
+    columns = ["visits", "noise"]
+    scored = scoring.score_churn(scoring.train_churn(df, columns, str(tmp_path / "model")), df, threshold=0.2)
+    check = {r.feature: r for r in scoring.moment_check(scored, columns).collect()}
+    assert set(check) == {"(rows)", *columns} and all(r.agrees for r in check.values())
+    assert check["(rows)"].actual == sum((i * 7919) % 11 < 4 for i in range(400))
+    assert scored.filter("churn_predicted = 1").count() > 0
+    other = scored.withColumn("churn_probability", scored.churn_probability * 0.9)
+    assert not any(r.agrees for r in scoring.moment_check(other, columns).collect())

@@ -17,6 +17,24 @@ def test_envelopes(spark, tmp_path, rows):
     assert rows(got, "id") == [("t0", 1, 100), ("t0", 2, 200), ("t2", 3, None)]
 
 
+def test_records_of_any_shape(spark, tmp_path, rows):
+    from millrace.operators.quality import required_in_variant
+    (tmp_path / "a.json").write_text('{\n "at": 1,\n "records": [{"id": 1, "x": null}, {"id": "two", "y": [1]},\n 7, null]}')
+    (tmp_path / "b.json").write_text("no json")
+    (tmp_path / "c.json").write_text('{"at": 2}')
+    (tmp_path / "d.json").write_text("")
+    records = readers.read_variant_records(spark, str(tmp_path))
+    got = required_in_variant(records, "record", ["id", "x"]).select(
+        *readers.variant_fields(F.col("envelope"), {"at": "int"}), "pos", *readers.variant_fields(F.col("record"), {"id": "int"}), "missing", "nulls")
+    none = ["id", "x"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([
+        (1, 0, 1, [], ["x"]), (1, 1, None, ["x"], []), (1, 2, None, none, []), (1, 3, None, none, []),
+        (None, None, None, none, []), (2, None, None, none, [])], key=repr)
+    (tmp_path / "lines").write_text('{"records": [{"id": 1}]}\n{"records": [{"id": 2}, {"id": 3}]}\n')
+    lines = readers.read_variant_records(spark, str(tmp_path / "lines"), multi_line=False)
+    assert rows(lines.select(*readers.variant_fields(F.col("record"), {"id": "int"})), "id") == [(1,), (2,), (3,)]
+
+
 def test_pages(spark):
     article = "struct<" + ", ".join([
         "id: bigint", "title: string", "published_at: string", "url: string", "comments_count: int",
