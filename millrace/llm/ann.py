@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import staged
 
-CHUNK_ROWS = 8192
+CHUNK_ROWS = 4096
+#: queries that one task holds, on average, and rows looked at exactly beyond the k best
+QUERY_ROWS = 32_768
+SPARE = 12
 
 
 @dataclass(frozen=True)
@@ -67,15 +70,16 @@ class Tree:
                     open_[int(kid)] = own
         return at
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves in best-bin-first order."""
+    def visits(self, query: np.ndarray, most: int, rows: dict[int, int] | None = None, enough: int = 0) -> list[int]:
+        """The first ``most`` leaves in best-bin-first order, and more until they hold ``enough`` rows."""
         point = self.lifted(query[None, :], query=True)[0]
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < most:
+        queue, found, held = [(0.0, 0)], [], 0
+        while queue and (len(found) < most or held < enough):
             _, node = heapq.heappop(queue)
             kids = self.children[node]
             if not len(kids):
                 found.append(node)
+                held += rows.get(node, 0) if rows else 0
                 continue
             for far, kid in zip(((self.centers[kids] - point) ** 2).sum(axis=1).tolist(), kids.tolist()):
                 heapq.heappush(queue, (far, kid))
@@ -122,20 +126,34 @@ def _scores(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.add.reduce(vectors * query, axis=1)
 
 
-def _best(query_id: int, query: np.ndarray, rough: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
-    """Ids and scores of the best k: most first, then smaller id; an id counts once."""
-    rough = np.where(ids == query_id, -np.inf, rough)
-    if len(rough) > k:
-        least = np.partition(rough, len(rough) - k)[len(rough) - k]
-        near = np.flatnonzero(rough >= least - 1e-9 * max(1.0, abs(least)))
-    else:
-        near = np.arange(len(rough))
-    near = near[np.isfinite(rough[near])]
-    score = _scores(query, vectors[near])
-    order = np.lexsort((ids[near], -score))
-    _, once = np.unique(ids[near][order], return_index=True)
-    order = order[np.sort(once)][:k]
-    return ids[near][order], score[order]
+def _best(asked: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int,
+          allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of the best k rows of each query: most first, then smaller id; ids are distinct."""
+    rough = queries @ vectors.T
+    if allowed is not None:
+        rough[~allowed] = -np.inf
+    rough[asked[:, None] == ids[None, :]] = -np.inf
+    n, m = len(ids), min(len(ids), k + SPARE)
+    at = np.argpartition(rough, n - m, axis=1)[:, n - m:] if m < n else np.broadcast_to(np.arange(n), rough.shape)
+    near = np.take_along_axis(rough, at, axis=1)
+    score = np.where(np.isfinite(near), np.add.reduce(vectors[at] * queries[:, None, :], axis=2), -np.inf)
+    order = np.lexsort((ids[at], -score), axis=1)[:, :k]
+    row, score = np.take_along_axis(at, order, axis=1), np.take_along_axis(score, order, axis=1)
+    query = np.broadcast_to(np.arange(len(asked))[:, None], row.shape)
+    found = [x[np.isfinite(score)] for x in (query, row, score)]
+    if m < n:
+        # rough scores differ from exact ones in the last bits: where the last row taken is so
+        # near to the k-th, others that were not taken may be as good
+        kth = np.partition(near, m - k, axis=1)[:, m - k]
+        unsure = np.flatnonzero(near.min(axis=1) >= kth - 1e-9 * np.maximum(1.0, np.abs(kth)))
+        if len(unsure):
+            found = [x[~np.isin(found[0], unsure)] for x in found]
+            for i in unsure.tolist():
+                own = np.flatnonzero(np.isfinite(rough[i]) & (rough[i] >= kth[i] - 1e-9 * max(1.0, abs(kth[i]))))
+                exact = _scores(queries[i], vectors[own])
+                first = np.lexsort((ids[own], -exact))[:k]
+                found = [np.concatenate(x) for x in zip(found, (np.full(len(first), i), own[first], exact[first]))]
+    return found[0], found[1], found[2]
 
 
 def usable(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -151,21 +169,44 @@ def usable(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
     return kept.filter(F.size("v") == (length["n"] if length else -1))
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("id").agg(F.min("v").alias("v"))
+
+
+def bins_of(rows: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(leaf, first bin, bins): neighbouring small leaves share a bin of CHUNK_ROWS rows, large ones have several."""
+    found, bin_, held = [], 0, 0
+    for leaf, n in sorted(rows.items()):
+        if held and held + n > CHUNK_ROWS:
+            bin_, held = bin_ + 1, 0
+        parts = max(1, -(-n // CHUNK_ROWS))
+        found.append((leaf, bin_, parts))
+        held += n
+        if parts > 1:
+            bin_, held = bin_ + parts, 0
+    return found
+
+
 def neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector: str = "embedding",
                search: Search = Search()) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest inner product found for each query.
 
     All rows are indexed and all queries answered; a row with the query's id is no
-    candidate. Ties go to the smaller id, a repeated id counts once. Without usable rows
-    there is no result, and with fewer candidates than k all of them come. Leaves of many
-    rows are dealt to several tasks, and each task sends on k rows for each query.
+    candidate. Ties go to the smaller id. Of rows that repeat an id the smallest vector, by
+    its components, stands for it, among queries too. Without usable rows there is no
+    result, and with fewer candidates than k all of them come: a query goes on beyond its
+    calibrated number of leaves until they hold k others.
+
+    Small leaves share a bin and rows of a large one are dealt to several; a task matches one
+    bin with one part of the queries, and sends on k rows for each query and bin.
     """
     spark = vectors.sparkSession
-    rows = staged(usable(vectors, id_col, vector), "vectors")
-    asked = staged(usable(queries, id_col, vector).dropDuplicates(["id"]), "queries")
+    rows = staged(_once(usable(vectors, id_col, vector)), "vectors")
+    asked = staged(_once(usable(queries, id_col, vector)), "queries")
     shape = "query_id long, rank int, vec_id long, score double"
     facts = rows.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("norm")).first()
-    if not facts["n"] or asked.isEmpty():
+    n_asked = asked.count()
+    if not facts["n"] or not n_asked:
         return spark.createDataFrame([], shape)
     by_hash = F.xxhash64("id", F.lit(search.seed))
     sample = np.array([r["v"] for r in rows.orderBy(by_hash, "id").limit(search.sample_rows).collect()])
@@ -181,50 +222,61 @@ def neighbours(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", v
 
     # calibration: where in its visits would each true neighbour have been met
     some = asked.orderBy(by_hash, "id").limit(search.calibration_queries).collect()
-    ids, points = [r["id"] for r in some], np.array([r["v"] for r in some])
+    ids, points = np.array([r["id"] for r in some]), np.array([r["v"] for r in some])
 
     def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             own, all_ids, leaf = np.stack(frame["v"].to_numpy()), frame["id"].to_numpy(), frame["leaf"].to_numpy()
-            where = dict(zip(all_ids.tolist(), leaf.tolist()))
-            rough = points @ own.T
-            for i, query in enumerate(ids):
-                best, score = _best(query, points[i], rough[i], all_ids, own, k)
-                yield pd.DataFrame({"query": query, "id": best, "score": score, "leaf": [where[b] for b in best.tolist()]})
+            query, row, score = _best(ids, points, all_ids, own, k)
+            yield pd.DataFrame({"query": ids[query], "id": all_ids[row], "score": score, "leaf": leaf[row]})
 
     top = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    truth = placed.mapInPandas(exact, "query long, id long, score double, leaf long").distinct().withColumn(
+    truth = placed.mapInPandas(exact, "query long, id long, score double, leaf long").withColumn(
         "rank", F.row_number().over(top)).filter(F.col("rank") <= k).select("query", "leaf").collect()
+    # no more leaves than the sample has rows
+    held = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}
     n_leaves = sum(1 for kids in tree.children if not len(kids))
-    orders = {q: {leaf: i for i, leaf in enumerate(tree.visits(p, n_leaves))} for q, p in zip(ids, points)}
+    orders = {q: {leaf: i for i, leaf in enumerate(tree.visits(p, n_leaves))} for q, p in zip(ids.tolist(), points)}
     met = np.sort([orders[r["query"]][r["leaf"]] for r in truth])
     visits = int(met[int(np.ceil(search.recall * len(met))) - 1]) + 1 if len(met) else n_leaves
+    bins = bins_of(held)
+    first = {leaf: (bin_, parts) for leaf, bin_, parts in bins}
+    blocks = -(-n_asked // QUERY_ROWS)
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [tree.visits(np.asarray(v), visits) for v in frame["v"]]
-            yield frame.assign(leaf=found)
-
-    parts = staged(placed.groupBy("leaf").agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("parts")), "parts")
-    walked = asked.mapInPandas(walk, "id long, v array<double>, leaf array<long>").withColumn("leaf", F.explode("leaf"))
-    walked = walked.join(parts.toDF("leaf", "n"), "leaf").selectExpr("id", "v", "leaf", "explode(sequence(0, n - 1)) AS part")
-    dealt = placed.join(parts, "leaf").selectExpr("id", "v", "leaf", "int(pmod(xxhash64(id), parts)) AS part")
+            out = []
+            for query, v in zip(frame["id"], frame["v"]):
+                by_bin: dict[int, list[int]] = {}
+                for leaf in tree.visits(np.asarray(v), visits, held, k + 1):
+                    bin_, parts = first.get(leaf, (0, 0))
+                    for part in range(bin_, bin_ + parts):
+                        by_bin.setdefault(part, []).append(leaf)
+                out += [(query, v, b, leaves) for b, leaves in by_bin.items()]
+            yield pd.DataFrame(out, columns=["id", "v", "bin", "leaves"])
+
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    walked = asked.mapInPandas(walk, "id long, v array<double>, bin int, leaves array<long>").withColumn("block", block)
+    where = F.broadcast(spark.createDataFrame(bins, "leaf long, first int, parts int"))
+    dealt = placed.join(where, "leaf").select(
+        "id", "v", "leaf", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("bin"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
     def look(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         own, all_ids, found = np.stack(right["v"].to_numpy()), right["id"].to_numpy(), []
+        leaves, leaf = np.unique(right["leaf"].to_numpy(), return_inverse=True)
         for at in range(0, len(left), 256):
-            block = left.iloc[at:at + 256]
-            asked_for = np.stack(block["v"].to_numpy())
-            rough = asked_for @ own.T
-            for i, query in enumerate(block["id"].tolist()):
-                best, score = _best(query, asked_for[i], rough[i], all_ids, own, k)
-                found.append(pd.DataFrame({"query_id": query, "vec_id": best, "score": score}))
+            part = left.iloc[at:at + 256]
+            asked_ids = part["id"].to_numpy()
+            seen = np.stack([np.isin(leaves, own_leaves) for own_leaves in part["leaves"]])
+            query, row, score = _best(asked_ids, np.stack(part["v"].to_numpy()), all_ids, own, k, seen[:, leaf])
+            found.append(pd.DataFrame({"query_id": asked_ids[query], "vec_id": all_ids[row], "score": score}))
         return pd.concat(found)
 
-    found = (walked.groupBy("leaf", "part").cogroup(dealt.groupBy("leaf", "part"))
-             .applyInPandas(look, "query_id long, vec_id long, score double").distinct())
+    found = walked.groupBy("bin", "block").cogroup(dealt.groupBy("bin", "block")).applyInPandas(
+        look, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -68,6 +68,44 @@ def test_neighbours_find_nearly_all(spark):
     assert ann.neighbours(df.filter("false"), df).count() == 0
 
 
+def test_an_id_takes_one_place_and_small_leaves_are_not_enough(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(300) for _ in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    once = {}
+    for i, v in rows:
+        once[i] = min(once.get(i, v), v)
+    v = np.array([once[i] for i in range(300)])
+    for r in ann.neighbours(df, df.filter("vec_id % 20 = 0")).collect():
+        assert r.score == pytest.approx(v[r.query_id] @ v[r.vec_id], abs=1e-12)
+    # clusters with fewer members than neighbours asked for
+    centres = rng.standard_normal((80, 8)) * 50
+    points = np.concatenate([c + rng.standard_normal((150 if i < 40 else 4, 8)) for i, c in enumerate(centres)])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    got = ann.neighbours(df, df.filter("vec_id % 9 = 0"), search=ann.Search(leaf_rows=30, sample_rows=2000))
+    assert {r["count"] for r in got.groupBy("query_id").count().collect()} == {20}
+    assert got.groupBy("query_id", "vec_id").count().filter("count > 1").isEmpty()
+
+
+def test_best_rows_with_many_ties():
+    rng = np.random.default_rng(6)
+    vectors = np.repeat(rng.standard_normal((30, 8)), 20, axis=0)
+    ids, asked = rng.permutation(600), np.array([3, 700, 44])
+    queries = rng.standard_normal((3, 8))
+    allowed = rng.random((3, 600)) < 0.7
+    query, row, score = ann._best(asked, queries, ids, vectors, 5, allowed)
+    for i in range(3):
+        exact = (vectors * queries[i]).sum(axis=1)
+        own = [j for j in range(600) if allowed[i, j] and ids[j] != asked[i]]
+        want = sorted(own, key=lambda j: (-exact[j], ids[j]))[:5]
+        assert row[query == i].tolist() == want and score[query == i].tolist() == [exact[j] for j in want]
+
+
+def test_bins_hold_whole_small_leaves():
+    rows = {1: 10, 2: ann.CHUNK_ROWS, 5: 3, 6: 4, 7: 3 * ann.CHUNK_ROWS - 1, 9: 1}
+    assert ann.bins_of(rows) == [(1, 0, 1), (2, 1, 1), (5, 2, 1), (6, 2, 1), (7, 3, 3), (9, 6, 1)]
+
+
 def test_log_is_folded(spark):
     log = spark.createDataFrame([
         (1, 1, "start", 0, "user", "hi"), (1, 2, "start", 1, "assistant", None), (1, 3, "delta", 1, None, "wr"),
