@@ -18,16 +18,22 @@ def last_times(events: DataFrame, asset: str = "asset", ts: str = "ts") -> DataF
     return events.groupBy(F.col(asset).alias("asset")).agg(F.max(ts).alias("last_ts"))
 
 
-def freshness_policies(schedules: DataFrame) -> DataFrame:
-    """Per asset, the schedule with the shortest interval; the first wins a tie.
+def freshness_policies(schedules: DataFrame, explicit: DataFrame | None = None) -> DataFrame:
+    """Per asset, its own policy, else the schedule with the shortest interval; the first wins a tie.
 
-    ``schedules(asset, ord, interval_minutes, last_deadline)``; a schedule
-    without an interval sets no policy.
+    ``schedules(asset, ord, interval_minutes, last_deadline)``; a schedule without an interval
+    sets no policy. ``explicit`` has the same columns: policies set on an asset itself, which
+    no schedule replaces. Of several on one asset the first counts.
     """
-    usable = schedules.filter(F.col("interval_minutes") > 0)
+    columns = ["asset", "ord", "interval_minutes", "last_deadline"]
+    usable = schedules.filter(F.col("interval_minutes") > 0).select(
+        *columns, F.lit(1).alias("rank"), F.col("interval_minutes").alias("place"))
+    if explicit is not None:
+        usable = usable.unionByName(explicit.filter(F.col("interval_minutes").isNotNull()).select(
+            *columns, F.lit(0).alias("rank"), F.lit(0).alias("place")))
     return usable.groupBy("asset").agg(
         F.min_by(F.struct("interval_minutes", "last_deadline"),
-                 F.struct("interval_minutes", "ord")).alias("policy")
+                 F.struct("rank", "place", "ord")).alias("policy")
     ).select("asset", "policy.*")
 
 

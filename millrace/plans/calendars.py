@@ -221,6 +221,19 @@ def fresh_policy(t):
         "last_deadline", text_time("last_deadline"))
 
 
+@query("fresh_policy_explicit", """
+SELECT asset, CASE WHEN k % 3 = 0 THEN 720 ELSE interval_minutes END AS interval_minutes,
+       strftime(CASE WHEN k % 3 = 0 THEN TIMESTAMP '2024-01-30 12:00:00' ELSE last_deadline END, '%Y-%m-%d %H:%M:%S') AS last_deadline
+FROM (SELECT DISTINCT user_id AS k, 'asset_' || user_id AS asset FROM events) LEFT JOIN v_policies USING (asset)
+WHERE k % 3 = 0 OR interval_minutes IS NOT NULL""", (V_SCHEDULES, V_POLICIES))
+def fresh_policy_explicit(t):
+    """Every third asset has a policy of its own, whatever its schedules say."""
+    own = t.events.filter("user_id % 3 = 0").select(F.concat(F.lit("asset_"), "user_id").alias("asset")).distinct().select(
+        "asset", F.lit(0).alias("ord"), F.lit(720).alias("interval_minutes"),
+        F.lit("2024-01-30 12:00:00").cast("timestamp_ntz").alias("last_deadline"))
+    return freshness.freshness_policies(schedules(t), own).withColumn("last_deadline", text_time("last_deadline"))
+
+
 @query("fresh_status", """
 SELECT asset, interval_minutes, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_ts,
        CASE WHEN last_ts >= last_deadline - to_minutes(interval_minutes) THEN 'PASS'

@@ -10,6 +10,8 @@ from millrace.operators import joins, transforms, windows
 from millrace.plans.registry import query, rounded, text_time
 from millrace.plans.tables import (EVENT_TYPES, V_BOOK, V_CUST, V_EDGES, V_LINES, V_MAT, V_SALES,
                                    book, customers, edges, market_lines, materializations, sales)
+from millrace.session import shared_dir
+from millrace.sources import writers
 from millrace.sources.readers import with_source_file
 
 # ---- projections and filters
@@ -105,6 +107,17 @@ def route_threshold(t):
     return large.unionByName(small)
 
 
+@query("route_threshold_written", """
+SELECT event_id, value,
+       CASE WHEN value > 100 THEN 'process_large' ELSE 'process_small' END AS route
+FROM events""")
+def route_threshold_written(t):
+    """Both branches written to their own folders in one pass over the input."""
+    path, rows = shared_dir(t.spark, "routes"), t.events.select("event_id", "value")
+    writers.write_routes(rows, path, transforms.route_label(F.col("value")))
+    return t.spark.read.schema("event_id bigint, value double, route string").parquet(path)
+
+
 @query("proj_name_upper", """
 SELECT customer_id, upper(name) AS name FROM v_cust""", (V_CUST,))
 def proj_name_upper(t):

@@ -68,6 +68,12 @@ def test_checks_share_one_scan_and_copy_no_rows(t, plan_of):
     assert len(scans) == 4 and sum("," not in s for s in scans) == 3
 
 
+def test_regions_are_summed_in_hash_tables(spark, data, plan_of):
+    plan = plan_of(QUERIES["join_region_default"](spark, data))
+    before_list = plan.split("Union")[1].split("Scan ExistingRDD")[0]
+    assert "HashAggregate" in before_list and "SortAggregate" not in before_list.split("+- Project")[0]
+
+
 def test_dedupe_limits_groups_before_the_shuffle(t, plan_of):
     plan = plan_of(windows.latest(t.events.withColumnRenamed("user_id", "asset")))
     before_shuffle = plan.split("Exchange")[1]
