@@ -13,7 +13,37 @@ from millrace.plans.tables import EVENT_TYPES, NOW
 from millrace.session import shared_dir
 
 
-@query("udf_extract_article")
+# Tags and texts of the first article as tokens. The depth of a tag is a running sum over its
+# start and end tags; a block ends where it is back to what it was before, else with the article.
+@query("udf_extract_article", r"""
+WITH cut AS (
+  SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1), '<[^>]*>|[^<]+') AS parts
+  FROM pages),
+tokens AS (
+  SELECT page_id, i, part, lower(regexp_extract(part, '^</?([a-zA-Z0-9]+)', 1)) AS tag, part LIKE '</%' AS closes
+  FROM (SELECT page_id, unnest(parts) AS part, unnest(range(len(parts))) AS i FROM cut)),
+nested AS (
+  SELECT *, sum(CASE WHEN closes THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, tag ORDER BY i) AS depth
+  FROM tokens WHERE tag IN ('h1', 'h2', 'h3', 'p', 'ul', 'ol', 'li')),
+blocks AS (
+  SELECT s.page_id, s.i, s.tag, coalesce(min(e.i), 1000000000) AS stop
+  FROM nested s LEFT JOIN nested e
+    ON e.page_id = s.page_id AND e.tag = s.tag AND e.closes AND e.i > s.i AND e.depth = s.depth - 1
+  WHERE NOT s.closes GROUP BY s.page_id, s.i, s.tag),
+texts AS (
+  SELECT b.page_id, b.i, b.tag, trim(string_agg(
+           regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+             CASE WHEN regexp_full_match(part, '[ \n\t\f\r]+') THEN CASE WHEN contains(part, chr(10)) THEN chr(10) ELSE ' ' END ELSE part END,
+             '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '' ORDER BY x.i), ' ' || chr(9) || chr(10) || chr(13)) AS body
+  FROM blocks b JOIN tokens x ON x.page_id = b.page_id AND x.i > b.i AND x.i < b.stop AND x.part NOT LIKE '<%'
+  GROUP BY b.page_id, b.i, b.tag),
+pieces AS (
+  SELECT page_id, i, CASE WHEN tag LIKE 'h%'
+    THEN concat(chr(10), repeat('=', 80), chr(10), upper(replace(body, 'ß', 'ss')), chr(10), repeat('=', 80), chr(10))
+    ELSE concat(body, chr(10)) END AS piece
+  FROM texts WHERE body <> '')
+SELECT page_id, coalesce(string_agg(piece, chr(10) ORDER BY i), '') AS article
+FROM pages LEFT JOIN pieces USING (page_id) GROUP BY page_id""")
 def udf_extract_article(t):
     return extract_articles(t.pages.select("page_id", "html")).drop("html")
 
