@@ -116,15 +116,26 @@ def op3_mixing(spark, folder):
 
 
 def conversation_log(conversations: DataFrame) -> DataFrame:
-    """Each row opens a message and streams its text; rows of one turn are messages of their own."""
+    """Each row opens a message and streams its text; rows of one turn are messages of their own.
+
+    The text comes in three pieces. Behind the first a wrong one is streamed, and an edit puts
+    it right. An answer is begun with other words and regenerated.
+    """
     nth = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
     rows = conversations.select("conv_id", "turn", "role", "text", nth.alias("nth"))
-    events = F.explode(F.array(
-        F.struct(F.lit("start").alias("kind"), F.col("role").alias("role"), F.lit(None).cast("string").alias("text")),
-        F.struct(F.lit("delta").alias("kind"), F.lit(None).cast("string").alias("role"), F.col("text").alias("text"))))
-    return rows.withColumn("event", events).select(
-        "conv_id", F.col("turn").alias("seq"), "event.kind", F.struct("turn", "nth").alias("message"),
-        "event.role", "event.text")
+    text, third = F.col("text"), F.floor(F.length("text") / 3).cast("int")
+    first, second, rest = F.substring(text, F.lit(1), third), F.substring(text, third + 1, third), F.substring(
+        text, third * 2 + 1, F.length(text))
+    answers = F.col("role") == "assistant"
+    steps = [("start", None), ("delta", F.when(answers, F.lit("Well, [INST] "))), ("regenerate", None), ("delta", first),
+             ("delta", F.lit(" no, </s>")), ("edit", first), ("delta", second), ("delta", rest)]
+    events = F.array(*[F.struct(
+        F.when(answers if kind == "regenerate" else F.lit(True), F.lit(kind)).alias("kind"), F.lit(j).alias("step"),
+        (F.col("role") if kind == "start" else F.lit(None)).cast("string").alias("role"),
+        (F.lit(None) if piece is None else piece).cast("string").alias("text")) for j, (kind, piece) in enumerate(steps)])
+    return rows.withColumn("event", F.explode(events)).filter("event.kind IS NOT NULL").select(
+        "conv_id", F.struct("turn", "nth", F.col("event.step").alias("step")).alias("seq"), "event.kind",
+        F.struct("turn", "nth").alias("message"), "event.role", "event.text")
 
 
 @query("""

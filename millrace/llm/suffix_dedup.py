@@ -345,8 +345,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     new = {spans.lower(), kept.lower()}
     plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new or c in (id_col, text)])
-    doc, version = free_name(plain, "doc__"), free_name(plain, "version__")
-    found = staged(repeats(docs, id_col, text), "removed").toDF(doc, version, "spans__", "kept__")
+    doc, version, runs, rest = (free_name(plain, c) for c in ("doc__", "version__", "spans__", "kept__"))
+    found = staged(repeats(docs, id_col, text), "removed").toDF(doc, version, runs, rest)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = plain.withColumns({doc: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-2 ** 63)),
                               version: F.xxhash64(body)})
@@ -355,7 +355,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     whole = matching(rows, ids, [doc, version], "left_anti").select(
         *keep, F.array().cast(SPANS).alias(spans), body.cast("binary").alias(kept))
     cut = matching(rows, ids, [doc, version], "left_semi").join(found, [doc, version]).select(
-        *keep, F.col("spans__").alias(spans), F.col("kept__").alias(kept))
+        *keep, F.col(runs).alias(spans), F.col(rest).alias(kept))
     return whole.unionByName(cut)
 
 

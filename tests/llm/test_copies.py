@@ -199,3 +199,12 @@ def test_pipeline(spark, docs):
     for r in coded:
         ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest())
+
+
+def test_columns_named_like_those_in_between(spark):
+    rows = [(1, "x" * 150, "a", "b", "c"), (2, "x" * 150, "a", "b", "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans__ string, kept__ string, doc__ string")
+    got = suffix_dedup.without_repeats(df).orderBy("doc_id").collect()
+    assert [(r.spans__, r.kept__, r.doc__) for r in got] == [("a", "b", "c")] * 2
+    # every string of 100 bytes but the first starts earlier, too
+    assert [len(r.kept) for r in got] == [1, 0]
