@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from millrace.llm.common import free_name, worker_memo
 
 SPACE = "▁"
-BATCH_ROWS = 256
+BATCH_ROWS = 512
 MEMO_BYTES = 96 << 20
 ENTRY_BYTES = 220
 SHORT = 128
