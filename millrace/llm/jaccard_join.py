@@ -25,6 +25,8 @@ from millrace.llm.shingles import _Words, mixed, shingle_sets
 # Links need 100 * intersection >= SIMILAR * union; the bands hold for this value alone.
 SIMILAR = 80
 PARTS = 3
+#: classes of shingles for each element of a set, at least
+FINER = 4
 BLOCK = 1024
 BROADCAST_IDS = 1_000_000
 #: what a task holds before it sends a block on, and names of sets it has signed, some 20 MB each
@@ -95,22 +97,26 @@ def _sets(texts) -> Iterator[np.ndarray]:
     return shingle_sets(texts, worker_memo(("shingle words",), _Words))
 
 
-def _counts(shingles: np.ndarray) -> bytes:
-    """Shingles in each of so many equal ranges of hashes that one at most falls in most of them, 255 at most."""
-    bits = max(6, len(shingles).bit_length())
-    found = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(found, 255).astype(np.uint8).tobytes()
+def _parities(shingles: np.ndarray) -> bytes:
+    """Whether the number of shingles in each of many classes is odd, a bit each.
+
+    Sets that differ in n elements differ in n parities at most, and in hardly fewer, as
+    there are at least FINER classes for each element. The classes are the lowest bits.
+    """
+    classes = max(512, FINER << len(shingles).bit_length())
+    found = np.bincount((shingles & np.uint64(classes - 1)).astype(np.int64), minlength=classes)
+    return np.packbits(found.astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
-def _bins(counts: list[bytes]) -> np.ndarray:
-    """One row for each, over the ranges of the shortest: finer ones are added up."""
-    least = min(map(len, counts))
-    return np.stack([np.frombuffer(c, dtype=np.uint8).reshape(least, -1).sum(axis=1, dtype=np.int32) for c in counts])
+def _folded(parities: list[bytes]) -> np.ndarray:
+    """One row of words for each, over the classes of the shortest: finer ones meet in a coarser one."""
+    least = min(map(len, parities))
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(p, dtype=np.uint64).reshape(-1, least // 8), axis=0) for p in parities])
 
 
 @F.pandas_udf(T.StructType().add("n_shingles", T.LongType()).add("node", T.LongType()).add("bins", T.BinaryType()))
 def _described(texts: pd.Series) -> pd.DataFrame:
-    rows = [(len(s), set_id(s), _counts(s)) for s in _sets(texts)]
+    rows = [(len(s), set_id(s), _parities(s)) for s in _sets(texts)]
     return pd.DataFrame({"n_shingles": [n for n, _, _ in rows],
                          "node": pd.array([i if n else None for n, i, _ in rows], dtype="Int64"),
                          "bins": [b for _, _, b in rows]})
@@ -200,27 +206,28 @@ def _similar(left: pd.Series, right: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.BooleanType())
 def _close(left: pd.Series, right: pd.Series, sizes: pd.Series) -> pd.Series:
-    """False if the counts by range prove that two sets differ in more than a ninth of their sizes."""
-    apart = [int(np.abs(np.subtract(*_bins([a, b]))).sum()) for a, b in zip(left, right)]
+    """False if the parities prove that two sets differ in more than a ninth of their sizes."""
+    apart = [int(np.bitwise_count(np.bitwise_xor(*_folded([a, b]))).sum(dtype=np.int64)) for a, b in zip(left, right)]
     return pd.Series(np.array(apart, dtype=np.int64) * 9 <= sizes.to_numpy())
 
 
 def _left_over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of a bucket in two components that could still be linked.
 
-    Counts of shingles by range differ by no more than the sets do, so pairs whose
-    counts differ by more than a ninth of their sizes are no link.
+    Parities differ in no more places than the sets do, so pairs that differ in more of them
+    than a ninth of their sizes are no link.
     """
     for frame in frames:
         found = set()
         for members in frame["members"]:
             node, label, size = (np.array([m[c] for m in members]) for c in ("node", "label", "n_shingles"))
-            bins = _bins([m["bins"] for m in members])
+            bins = _folded([m["bins"] for m in members])
             for i in range(len(node) - 1):
                 both = size[i + 1:] + size[i]
                 at = np.flatnonzero((label[i + 1:] != label[i]) & (np.abs(size[i + 1:] - size[i]) * 9 <= both)) + i + 1
                 if len(at):
-                    at = at[np.abs(bins[at] - bins[i]).sum(axis=1) * 9 <= size[at] + size[i]]
+                    apart = np.bitwise_count(bins[at] ^ bins[i]).sum(axis=1, dtype=np.int64)
+                    at = at[apart * 9 <= size[at] + size[i]]
                     found.update((min(node[i], x), max(node[i], x)) for x in node[at].tolist())
         yield pd.DataFrame(list(found), columns=["a", "b"], dtype="int64")
 
@@ -298,8 +305,8 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     component_id is null only where links lead to no id.
 
     Sets sharing a signature form a bucket. Its first set is checked with each other one;
-    after that only pairs still in two components are looked at, and those that counts of
-    shingles by range cannot tell apart are checked. So no bucket is turned into all its
+    after that only pairs still in two components are looked at, and those that parities of
+    the shingles by class cannot tell apart are checked. So no bucket is turned into all its
     pairs, and no pair goes unseen.
     """
     placed = _placed(docs, id_col, text).select("row.doc", "n_shingles", "label")

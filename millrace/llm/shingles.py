@@ -8,6 +8,7 @@ import numpy as np
 
 WIDTH = 5
 MEMO_WORDS = 300_000
+_WEIGHTS = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(WIDTH)], dtype=np.uint64)
 
 
 class _Words(dict):
@@ -43,7 +44,8 @@ def shingle_sets(texts: list[str | None], memo: _Words | None = None) -> Iterato
         h = np.fromiter(map(known, words), dtype=np.uint64, count=len(words))
         width = min(WIDTH, len(h))
         n = len(h) - width + 1
-        total = np.full(n, width, dtype=np.uint64)
-        for i in range(width):
-            total = mixed(total + h[i:i + n])
-        yield np.unique(total)
+        total = h[:n] + np.uint64(width)
+        for i in range(1, width):
+            # words are hashed well, so a sum with a weight for each place tells sequences apart
+            total += h[i:i + n] * _WEIGHTS[i]
+        yield np.unique(mixed(total))
