@@ -43,7 +43,7 @@ FROM closed WHERE spread < 0.05 OR total_market_volume < 100""", (V_BOOK,))
 def st_order_book(t):
     path = shared_dir(t.spark, "order-book")
     book = streams.event_time(as_book(_stream(t, "lineitem")))
-    streams.order_book_stream(book, path, shared_dir(t.spark, "progress"), 0.05, 100, bucket="month")
+    streams.order_book_stream(book, path, shared_dir(t.spark, "progress"), 0.05, 100, bucket="year")
     return rounded(streams.violations(t.spark, path).withColumn("window_start", text_time("window_start")))
 
 

@@ -1,7 +1,7 @@
 """Totals per window that any number of streams add to, and that no row is too late for.
 
 A batch is summed up per window and key, and these partial sums are merged into a stored
-table. Windows lie in buckets of an hour, a day or a month, and only the buckets that a batch
+table. Windows lie in buckets of an hour, a day, a month or a year, and only the buckets that a batch
 touches are written again. Each stream has rows of its own in a bucket, in two versions: a
 batch is added to the newest version made by an earlier batch and takes the place of the
 other one. So a batch that runs twice is counted once, and a driver lost while it writes
@@ -58,7 +58,8 @@ class WindowTotals:
         at = datetime(1970, 1, 1, tzinfo=timezone.utc) + micros * _MICRO
         at = at.replace(minute=0, second=0, microsecond=0)
         at = at if self.bucket == "hour" else at.replace(hour=0)
-        return (at.replace(day=1) if self.bucket == "month" else at).strftime("%Y-%m-%d-%H-%M-%S")
+        at = at.replace(day=1) if self.bucket in ("month", "year") else at
+        return (at.replace(month=1) if self.bucket == "year" else at).strftime("%Y-%m-%d-%H-%M-%S")
 
     def _added(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy("bucket", "window_start", "window_end", *self.keys).agg(*[F.sum(s).alias(s) for s in self.sums])
