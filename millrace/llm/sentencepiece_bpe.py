@@ -23,7 +23,7 @@ from millrace.llm.common import free_name, worker_memo
 
 SPACE = "▁"
 BATCH_ROWS = 512
-MEMO_BYTES = 96 << 20
+MEMO_BYTES = 160 << 20
 ENTRY_BYTES = 220
 SHORT = 128
 #: chunks that are merged side by side
