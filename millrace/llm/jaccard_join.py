@@ -11,10 +11,11 @@ signature is the hash of two parts of a range, so linked sets share one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,8 +26,14 @@ from millrace.llm.shingles import _Words, mixed, shingle_sets
 # Links need 100 * intersection >= SIMILAR * union; the bands hold for this value alone.
 SIMILAR = 80
 PARTS = 3
-#: classes of shingles for each element of a set, at least
-FINER = 4
+#: classes of shingles for each element of a set, at least: between sets, and where the sets are at hand
+FINER = 1
+EXACT_FINER = 16
+#: what a block of a large group weighs: bytes, and as many more for each row
+CELL_BYTES = 1 << 24
+ROW_BYTES = 1 << 12
+#: sets in a group whose pairs are checked one by one
+FEW = 8
 BLOCK = 1024
 BROADCAST_IDS = 1_000_000
 #: what a task holds before it sends a block on, and names of sets it has signed, some 20 MB each
@@ -97,13 +104,13 @@ def _sets(texts) -> Iterator[np.ndarray]:
     return shingle_sets(texts, worker_memo(("shingle words",), _Words))
 
 
-def _parities(shingles: np.ndarray) -> bytes:
+def _parities(shingles: np.ndarray, finer: int = FINER, least: int = 512) -> bytes:
     """Whether the number of shingles in each of many classes is odd, a bit each.
 
-    Sets that differ in n elements differ in n parities at most, and in hardly fewer, as
-    there are at least FINER classes for each element. The classes are the lowest bits.
+    Sets that differ in n elements differ in n parities at most, and in about as many if
+    there are several classes for each such element. The classes are the lowest bits.
     """
-    classes = max(512, FINER << len(shingles).bit_length())
+    classes = max(least, finer << len(shingles).bit_length())
     found = np.bincount((shingles & np.uint64(classes - 1)).astype(np.int64), minlength=classes)
     return np.packbits(found.astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -111,6 +118,8 @@ def _parities(shingles: np.ndarray) -> bytes:
 def _folded(parities: list[bytes]) -> np.ndarray:
     """One row of words for each, over the classes of the shortest: finer ones meet in a coarser one."""
     least = min(map(len, parities))
+    if least == max(map(len, parities)):
+        return np.frombuffer(b"".join(parities), dtype=np.uint64).reshape(len(parities), -1)
     return np.stack([np.bitwise_xor.reduce(np.frombuffer(p, dtype=np.uint64).reshape(-1, least // 8), axis=0) for p in parities])
 
 
@@ -193,15 +202,16 @@ def _with_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["node", "shingles"])
 
 
+def _exactly(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= SIMILAR * (len(a) + len(b) - both)
+
+
 @F.pandas_udf(T.BooleanType())
 def _similar(left: pd.Series, right: pd.Series) -> pd.Series:
     """The exact check on two sets."""
-    def linked(a: bytes, b: bytes) -> bool:
-        a, b = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return 100 * both >= SIMILAR * (len(a) + len(b) - both)
-
-    return pd.Series([linked(a, b) for a, b in zip(left, right)], dtype=bool)
+    return pd.Series([_exactly(np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64))
+                      for a, b in zip(left, right)], dtype=bool)
 
 
 @F.pandas_udf(T.BooleanType())
@@ -211,38 +221,136 @@ def _close(left: pd.Series, right: pd.Series, sizes: pd.Series) -> pd.Series:
     return pd.Series(np.array(apart, dtype=np.int64) * 9 <= sizes.to_numpy())
 
 
-def _left_over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of a bucket in two components that could still be linked.
+def _cells(rows: DataFrame, group: str, size: Column) -> DataFrame:
+    """Rows of a group next to each other, in cells of bounded size in which any two of them meet.
+
+    A group is dealt to blocks by a hash of the node, and each two blocks make a cell: its
+    rows are from ``side`` 0 and 1, or all from side 0 where a block meets itself.
+    """
+    blocks = rows.groupBy(group).agg(F.ceil(F.sum(size + ROW_BYTES) / CELL_BYTES).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return (rows.join(blocks, group).withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other"),
+                          "side": (F.col("own") > F.col("other")).cast("int")})
+            .repartition(group, "low", "high").sortWithinPartitions(group, "low", "high").drop("blocks", "own", "other"))
+
+
+def _each_cell(frames: Iterator[pd.DataFrame], group: str) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of one cell after the other, of rows sorted by cell; those of a single label are left out."""
+    def whole(held: list[dict[str, np.ndarray]]) -> Iterator[dict[str, np.ndarray]]:
+        cell = held[0] if len(held) == 1 else {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+        if (cell["label"] != cell["label"][0]).any():
+            yield cell
+
+    held, last = [], None
+    for frame in frames:
+        columns = {c: frame[c].to_numpy() for c in frame}
+        keys = [columns[c] for c in (group, "low", "high")]
+        cuts = (np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1).tolist()
+        for start, end in zip([0, *cuts], [*cuts, len(frame)]):
+            if start == end:
+                continue
+            key = tuple(k[start] for k in keys)
+            if held and key != last:
+                yield from whole(held)
+                held = []
+            held.append({c: v[start:end] for c, v in columns.items()})
+            last = key
+    if held:
+        yield from whole(held)
+
+
+class _Cell:
+    """Sets of a cell: which of them could still be linked, by sizes and parities.
 
     Parities differ in no more places than the sets do, so pairs that differ in more of them
     than a ninth of their sizes are no link.
     """
-    for frame in frames:
+
+    def __init__(self, columns: dict[str, np.ndarray], parities: list[bytes]):
+        self.node, self.label, self.size, side = (columns[c] for c in ("node", "label", "n_shingles", "side"))
+        self.bins = _folded(parities)
+        # sides count only where two blocks meet
+        self.side = side if columns["low"][0] != columns["high"][0] else np.arange(len(side))
+
+    def partners(self, i: int, among: np.ndarray) -> np.ndarray:
+        """Members after i, of those given, that could be linked with it."""
+        after = slice(i + 1, None)
+        at = np.flatnonzero(among[after] & (self.label[after] != self.label[i]) & (self.side[after] != self.side[i])
+                            & (np.abs(self.size[after] - self.size[i]) * 9 <= self.size[after] + self.size[i])) + i + 1
+        if len(at):
+            apart = np.bitwise_count(self.bins[at] ^ self.bins[i]).sum(axis=1, dtype=np.int64)
+            at = at[apart * 9 <= self.size[at] + self.size[i]]
+        return at
+
+
+def _left_over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Groups of sets in which those of a bucket lie that could still be linked, though in two components.
+
+    One row for a group, however many of its pairs could be linked; pairs of a few sets come one by one.
+    """
+    for columns in _each_cell(frames, "bucket"):
+        cell = _Cell(columns, columns["bins"].tolist())
+        n = len(cell.node)
+        group = np.arange(n)
+        for i in range(n - 1):
+            met = np.unique(group[cell.partners(i, group != group[i])])
+            if len(met):
+                group[np.isin(group, met)] = group[i]
+        if (group == np.arange(n)).all():
+            continue
+        order = np.argsort(group, kind="stable")
         found = set()
-        for members in frame["members"]:
-            node, label, size = (np.array([m[c] for m in members]) for c in ("node", "label", "n_shingles"))
-            bins = _folded([m["bins"] for m in members])
-            for i in range(len(node) - 1):
-                both = size[i + 1:] + size[i]
-                at = np.flatnonzero((label[i + 1:] != label[i]) & (np.abs(size[i + 1:] - size[i]) * 9 <= both)) + i + 1
-                if len(at):
-                    apart = np.bitwise_count(bins[at] ^ bins[i]).sum(axis=1, dtype=np.int64)
-                    at = at[apart * 9 <= size[at] + size[i]]
-                    found.update((min(node[i], x), max(node[i], x)) for x in node[at].tolist())
-        yield pd.DataFrame(list(found), columns=["a", "b"], dtype="int64")
+        for own in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+            if len(own) > FEW:
+                found.add(np.sort(cell.node[own]).tobytes())
+            elif len(own) > 1:
+                among = np.zeros(n, dtype=bool)
+                among[own] = True
+                found.update(np.sort(cell.node[[i, j]]).tobytes() for i in own for j in cell.partners(i, among))
+        yield pd.DataFrame({"nodes": list(found)}, dtype=object)
+
+
+def _cell_links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links between the sets of a group that join two components, no more than join them."""
+    for columns in _each_cell(frames, "bucket"):
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in columns["shingles"]]
+        cell = _Cell(columns, [_parities(s, EXACT_FINER, 4096) for s in sets])
+        part, links = cell.label.copy(), []
+        for i in range(len(sets) - 1):
+            for j in cell.partners(i, part != part[i]).tolist():
+                if part[j] != part[i] and _exactly(sets[i], sets[j]):
+                    part[part == part[j]] = part[i]
+                    links.append((cell.node[i], cell.node[j]))
+        yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _sets_of(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes given, made anew from one text for each."""
+    rows = staged(nodes.join(wanted, "node").select("row").distinct(), "in-pairs")
+    return staged(matching(texts, rows, "row", "left_semi").select("text").mapInPandas(
+        _with_sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose sets pass the check; sets are made anew for those in pairs only."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    rows = staged(nodes.join(ends, "node").select("row").distinct(), "in-pairs")
-    sets = staged(matching(texts, rows, "row", "left_semi").select("text").mapInPandas(
-        _with_sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
+    sets = _sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), nodes, texts)
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     return staged(pairs.join(left, "a").join(right, "b").filter(_similar("left", "right")).select("a", "b"), "links")
 
 
+def _linked_in_groups(groups: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links that join the components of each group, the sets of which meet in cells."""
+    members = groups.withColumn("bucket", F.xxhash64("nodes")).mapInPandas(_members, "bucket long, node long")
+    sets = _sets_of(members.select("node").distinct(), nodes, texts)
+    rows = (members.join(sets, "node").join(labels, "node", "left").withColumns({
+        "label": F.coalesce("label", "node"), "n_shingles": (F.octet_length("shingles") / 8).cast("long")}))
+    return staged(_cells(rows, "bucket", F.octet_length("shingles")).mapInPandas(_cell_links, "a long, b long").distinct(),
+                  "group-links")
+
+
 def matching(docs: DataFrame, ids: DataFrame, column: str | list[str], how: str) -> DataFrame:
     """Semi or anti join on ids.
 
@@ -283,12 +391,16 @@ def _placed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                .mapInPandas(_members, "bucket long, node long")
                .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     open_ = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    rest = (members.join(open_.select("bucket"), "bucket", "left_semi").join(nodes, "node").groupBy("bucket")
-            .agg(F.collect_list(F.struct("node", "label", "n_shingles", "bins")).alias("members")))
-    pairs = rest.select("members").mapInPandas(_left_over, "a long, b long").distinct()
+    rest = members.join(open_.select("bucket"), "bucket", "left_semi").join(nodes.drop("row"), "node")
+    groups = staged(_cells(rest, "bucket", F.octet_length("bins")).mapInPandas(_left_over, "nodes binary").distinct(), "groups")
+    pairs = groups.filter(F.octet_length("nodes") == 16).mapInPandas(_stars, "a long, b long")
     untried = staged(pairs.join(stars, ["a", "b"], "left_anti"), "untried")
-    if not untried.isEmpty():
-        labels = components(links.union(_linked(untried, nodes, texts)))
+    more = [_linked(untried, nodes, texts)] if not untried.isEmpty() else []
+    large = groups.filter(F.octet_length("nodes") > 16)
+    if not large.isEmpty():
+        more.append(_linked_in_groups(large, labels, nodes, texts))
+    if more:
+        labels = components(reduce(DataFrame.union, more, links))
 
     return known.join(labels, "node", "left").select("row", "n_shingles", F.coalesce("label", "node").alias("label"))
 
@@ -305,9 +417,11 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     component_id is null only where links lead to no id.
 
     Sets sharing a signature form a bucket. Its first set is checked with each other one;
-    after that only pairs still in two components are looked at, and those that parities of
-    the shingles by class cannot tell apart are checked. So no bucket is turned into all its
-    pairs, and no pair goes unseen.
+    after that only pairs still in two components are looked at. Sets that parities of the
+    shingles by class cannot tell apart make a group: pairs of a small group are checked, the
+    sets of a large one come together in cells of bounded size, and of its links only those
+    leave a cell that join two components. So no bucket is turned into all its pairs, and no
+    pair goes unseen.
     """
     placed = _placed(docs, id_col, text).select("row.doc", "n_shingles", "label")
     first = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc").alias("first"))

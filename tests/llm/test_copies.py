@@ -81,6 +81,33 @@ def test_one_row_of_each_component_stays(spark):
     assert sorted(texts, key=str) == sorted([(1, a), (None, b), (big, c), (4, d), (4, e), (5, f), (6, ""), (7, ""), (None, " ")], key=str)
 
 
+@pytest.mark.parametrize("cell_bytes", [1 << 24, 1 << 18])
+def test_near_copies_just_beyond_the_threshold(spark, monkeypatch, cell_bytes):
+    """Hundreds of sets a hair too far from each other, some in pairs: rows made grow with them, not with their square."""
+    rng = random.Random(31)
+    own = iter(range(10 ** 6))
+    base = " ".join(f"b{i}" for i in range(34))
+    rows = []
+    for i in range(0, 600, 2):
+        tail = [f"t{next(own)}" for _ in range(4)]
+        rows.append((i, " ".join([base, *tail])))
+        if rng.random() < 0.3:
+            rows.append((i + 1, " ".join([base, *tail[:3], f"t{next(own)}"])))
+    rows += [(1000 + i, f"{base} o{i} o o o") for i in range(20)]
+    made, write = {}, jaccard_join.staged
+
+    def counted(df, purpose):
+        made[purpose] = made.get(purpose, 0) + (df := write(df, purpose)).count()
+        return df
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    monkeypatch.setattr(jaccard_join, "CELL_BYTES", cell_bytes, raising=False)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.with_components(df).collect()}
+    assert got == brute_components(rows)
+    assert made["untried"] + made.get("groups", 0) + made.get("group-links", 0) <= 4 * len(rows)
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(3)
     bands = jaccard_join.Bands()
