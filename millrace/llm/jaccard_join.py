@@ -221,11 +221,12 @@ def _close(left: pd.Series, right: pd.Series, sizes: pd.Series) -> pd.Series:
     return pd.Series(np.array(apart, dtype=np.int64) * 9 <= sizes.to_numpy())
 
 
-def _cells(rows: DataFrame, group: str, size: Column) -> DataFrame:
+def _cells(rows: DataFrame, group: str, size: Column, contents: DataFrame) -> DataFrame:
     """Rows of a group next to each other, in cells of bounded size in which any two of them meet.
 
     A group is dealt to blocks by a hash of the node, and each two blocks make a cell: its
-    rows are from ``side`` 0 and 1, or all from side 0 where a block meets itself.
+    rows are from ``side`` 0 and 1, or all from side 0 where a block meets itself. What a
+    node holds, ``size`` bytes or so, joins when the cells are known, to be moved once.
     """
     blocks = rows.groupBy(group).agg(F.ceil(F.sum(size + ROW_BYTES) / CELL_BYTES).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -233,7 +234,8 @@ def _cells(rows: DataFrame, group: str, size: Column) -> DataFrame:
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other"),
                           "side": (F.col("own") > F.col("other")).cast("int")})
-            .repartition(group, "low", "high").sortWithinPartitions(group, "low", "high").drop("blocks", "own", "other"))
+            .drop("blocks", "own", "other").join(contents, "node")
+            .repartition(group, "low", "high").sortWithinPartitions(group, "low", "high"))
 
 
 def _each_cell(frames: Iterator[pd.DataFrame], group: str) -> Iterator[dict[str, np.ndarray]]:
@@ -345,10 +347,10 @@ def _linked_in_groups(groups: DataFrame, labels: DataFrame, nodes: DataFrame, te
     """Links that join the components of each group, the sets of which meet in cells."""
     members = groups.withColumn("bucket", F.xxhash64("nodes")).mapInPandas(_members, "bucket long, node long")
     sets = _sets_of(members.select("node").distinct(), nodes, texts)
-    rows = (members.join(sets, "node").join(labels, "node", "left").withColumns({
-        "label": F.coalesce("label", "node"), "n_shingles": (F.octet_length("shingles") / 8).cast("long")}))
-    return staged(_cells(rows, "bucket", F.octet_length("shingles")).mapInPandas(_cell_links, "a long, b long").distinct(),
-                  "group-links")
+    rows = members.join(nodes.select("node", "n_shingles"), "node").join(labels, "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
+    cells = _cells(rows, "bucket", F.col("n_shingles") * 8, sets)
+    return staged(cells.mapInPandas(_cell_links, "a long, b long").distinct(), "group-links")
 
 
 def matching(docs: DataFrame, ids: DataFrame, column: str | list[str], how: str) -> DataFrame:
@@ -391,8 +393,9 @@ def _placed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                .mapInPandas(_members, "bucket long, node long")
                .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     open_ = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    rest = members.join(open_.select("bucket"), "bucket", "left_semi").join(nodes.drop("row"), "node")
-    groups = staged(_cells(rest, "bucket", F.octet_length("bins")).mapInPandas(_left_over, "nodes binary").distinct(), "groups")
+    rest = members.join(open_.select("bucket"), "bucket", "left_semi").join(nodes.select("node", "n_shingles"), "node")
+    cells = _cells(rest, "bucket", F.greatest(F.lit(64), F.col("n_shingles") / 4), nodes.select("node", "bins"))
+    groups = staged(cells.mapInPandas(_left_over, "nodes binary").distinct(), "groups")
     pairs = groups.filter(F.octet_length("nodes") == 16).mapInPandas(_stars, "a long, b long")
     untried = staged(pairs.join(stars, ["a", "b"], "left_anti"), "untried")
     more = [_linked(untried, nodes, texts)] if not untried.isEmpty() else []
