@@ -65,7 +65,8 @@ def order_book_stream(book: DataFrame, path: str, checkpoint_dir: str, min_sprea
                       width: timedelta = timedelta(hours=1), bucket: str = "day") -> WindowTotals:
     """Write markets that break the rules, per closed window, to ``path/violations``.
 
-    A late snapshot changes its window, which is then judged again: violations appear or go.
+    A late snapshot changes its window, which is then judged again: violations appear or go. Windows
+    are judged once all that has arrived is added.
     """
     totals = order_book_totals(path, delay, width, bucket)
 
@@ -207,7 +208,7 @@ def alert_stream(events: DataFrame, path: str, checkpoint_dir: str, name: str, d
     """Write an alert row for every window that closes, to ``path/alerts``.
 
     The totals are those of all streams that share ``path``. A late event changes its window,
-    whose alert is then written again.
+    whose alert is then written again, once all that has arrived is added.
     """
     totals = alert_totals(path, delay, width, bucket)
 

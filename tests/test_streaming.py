@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import market_stats, rule_violations
 from millrace.streaming import streams
+from millrace.streaming import totals as totals_module
 
 BOOK = ("market_id string, snapshot_id bigint, ts timestamp, best_bid double, best_ask double, "
         "total_volume bigint")
@@ -82,6 +83,53 @@ def test_a_batch_that_runs_again_counts_once(spark, tmp_path):
     assert totals.add(day(0, 0), 4, "x") is None
 
 
+def test_a_batch_stores_its_own_sums_only(spark, tmp_path):
+    """What earlier batches stored is neither read into a batch nor written again, and judged once a run."""
+    files = lambda: {p for p in (tmp_path / "out" / "totals" / "windows").rglob("*.parquet")}
+    seen, judged = [], []
+    totals = streams.order_book_totals(str(tmp_path / "out"), bucket="year")
+    for batch in range(3):
+        totals.add(streams.with_spread(spark.createDataFrame(book_rows(0, 4), BOOK)), batch, "x")
+        seen.append(files())
+    assert seen[0] and seen[0] < seen[1] < seen[2]
+    assert {r.snapshot_count for r in totals.totals(spark).collect()} == {12}
+    for i in range(3):
+        arrive(spark, tmp_path / "in", book_rows(4 * i, 4), BOOK)
+    rows = streams.with_spread(streams.read_stream(spark, str(tmp_path / "in"), BOOK, files_per_batch=1))
+    totals.run(rows, str(tmp_path / "progress"), lambda found, due: judged.append(found.count()))
+    assert judged == [33]
+
+
+def test_segments_are_added_up_by_level(spark, tmp_path, monkeypatch):
+    """Every third segment; replays of any batch, the one that merged among them, change nothing."""
+    monkeypatch.setattr(totals_module, "MERGED", 3)
+    totals = streams.alert_totals(str(tmp_path))
+    for batch in (0, 1, 2, 3, 3, 4, 5, 6, 7, 7, 8, 9, 10, 11, 12, 13, 13):
+        day = [("a", i, START + timedelta(days=batch % 2), True, 0.5) for i in range(batch + 1)]
+        totals.add(spark.createDataFrame(day, EVENTS), batch, "x")
+    got = {r.window_start: (r.records, r["sum"]) for r in totals.totals(spark).collect()}
+    assert got == {START: (49, 24.5), START + timedelta(days=1): (56, 28.0)}
+    folders = {tuple(int(part.split("=")[1]) for part in p.parts[-3:-1]) for p in (tmp_path / "totals").rglob("*.parquet") if "log" not in p.parts}
+    live = {(r["first"], r["batch"]) for r in totals._segments(totals.log(spark)).filter("live").collect()}
+    assert live == {(0, 8), (9, 11), (12, 12), (13, 13)} and live <= folders and (0, 0) not in folders
+
+
+def test_what_a_lost_run_did_not_judge_is_due_in_the_next(spark, tmp_path):
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    book = lambda: streams.read_stream(spark, str(tmp_path / "in"), BOOK, files_per_batch=1)
+    for hour in (0, 5):
+        arrive(spark, tmp_path / "in", [("m", hour, START + timedelta(hours=hour), 0.5, 0.6, 1)], BOOK)
+
+    def lost(found, due):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        streams.order_book_totals(out).run(streams.with_spread(book()), progress, lost)
+    assert streams.violations(spark, out).count() == 0
+    streams.order_book_stream(book(), out, progress, 0.0, 1000)
+    assert [r.window_start for r in streams.violations(spark, out).collect()] == [START]
+
+
 def test_rows_without_a_time_are_in_no_window(spark, tmp_path):
     totals = streams.alert_totals(str(tmp_path))
     rows = spark.createDataFrame([("a", 1, None, True, 1.0), ("a", 2, START, True, None)], EVENTS)
