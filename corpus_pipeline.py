@@ -32,8 +32,12 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number of tokens and digests of ids and decoded text, a row for each copy in the mix."""
-    return bpe_digests(docs.select("doc_id", "text"))
+    """Number of tokens and digests of ids and decoded text, a row for each copy in the mix.
+
+    Ids are written between, so a task runs one Python worker: what a second one holds stays
+    with the executor through later stages.
+    """
+    return bpe_digests(docs.select("doc_id", "text"), lambda ids: staged(ids, "pipeline-ids"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -36,8 +36,8 @@ ROW_BYTES = 1 << 12
 FEW = 8
 BLOCK = 1024
 BROADCAST_IDS = 1_000_000
-#: what a task holds before it sends a block on, and names of sets it has signed, some 20 MB each
-BLOCK_SIGNATURES = 500_000
+#: what a task holds before it sends a block on, and names of sets it has signed, some 10 and 20 MB
+BLOCK_SIGNATURES = 250_000
 SEEN_SETS = 200_000
 
 

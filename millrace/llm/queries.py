@@ -201,9 +201,9 @@ def op8_sharding(spark, folder):
     return sharding.with_shard(docs, "doc_id", SHARDS, SLOTS)
 
 
-def bpe_digests(docs: DataFrame) -> DataFrame:
+def bpe_digests(docs: DataFrame, between=lambda ids: ids) -> DataFrame:
     path = tokenizer("word_bpe_49k.json")
-    return bpe.decode(bpe.encode(docs, path).drop("text"), path).select(
+    return bpe.decode(between(bpe.encode(docs, path).drop("text")), path).select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 WIDTH = 5
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 _WEIGHTS = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(WIDTH)], dtype=np.uint64)
 
 

@@ -24,8 +24,10 @@ WINDOW = 100
 GRAM = 50
 # Windows of one stretch, bytes hashed at once, and bytes sorted at once if groups are small.
 STRETCH = 512
-SLICE = 1 << 20
+SLICE = 1 << 17
 SORTED = 1 << 19
+#: hashes that a task holds before it sends a block on, some 80 bytes each while they are dealt out
+BLOCK_STRETCHES = 250_000
 #: stretches that a task remembers to have sent
 KEPT_BYTES = 32 << 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -117,7 +119,7 @@ def _scanner(partitions: int):
                 nth = np.concatenate([np.arange(len(h)), np.flatnonzero(again)])
                 held.append((doc, version, h[nth], nth))
                 size += len(nth)
-                if size > 1_000_000:
+                if size > BLOCK_STRETCHES:
                     yield pd.DataFrame(list(blocks()), columns=columns)
                     held, size = [], 0
         if held:

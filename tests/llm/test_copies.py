@@ -6,6 +6,7 @@ import struct
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from millrace.llm import jaccard_join, suffix_dedup
@@ -235,3 +236,11 @@ def test_columns_named_like_those_in_between(spark):
     assert [(r.spans__, r.kept__, r.doc__) for r in got] == [("a", "b", "c")] * 2
     # every string of 100 bytes but the first starts earlier, too
     assert [len(r.kept) for r in got] == [1, 0]
+
+
+def test_the_scanner_sends_blocks_of_bounded_size():
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefgh ", k=200_000)) for _ in range(40)]
+    frame = pd.DataFrame({"doc": range(40), "version": range(40), "text": texts})
+    sent = [sum(len(h) // 4 for h in out["hashes"]) for out in suffix_dedup._scanner(4)(iter([frame]))]
+    assert len(sent) > 1 and max(sent) <= 260_000 < sum(sent)

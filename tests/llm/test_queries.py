@@ -16,3 +16,12 @@ def test_same_as_sql(spark, data, name):
     got = QUERIES[name](spark, data)
     assert sorted(got.columns) == sorted(columns)
     assert sorted(map(tuple, got.select(*columns).collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
+def test_a_task_of_the_pipeline_encodes_or_decodes(spark, plan_of):
+    """Each Python function of a stage has a worker of its own."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    encoded = corpus_pipeline.encoded(spark, docs, "")
+    assert plan_of(encoded).count("MapInArrow") == 1 and encoded.count() == 2
