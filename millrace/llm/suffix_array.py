@@ -16,8 +16,39 @@ def _keys(*columns: np.ndarray) -> np.ndarray:
     return key
 
 
+def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order and sorted keys, equal ones as they stood. Keys with room for a position are sorted with it."""
+    bits = len(key).bit_length()
+    if int(key.max(initial=0)).bit_length() + bits < 64:
+        packed = np.sort((key << bits) | np.arange(len(key)))
+        return packed & ((1 << bits) - 1), packed >> bits
+    order = np.argsort(key, kind="stable")
+    return order, key[order]
+
+
+def _new(s: np.ndarray) -> np.ndarray:
+    """Where a sorted array has another value than before."""
+    new = np.ones(len(s), dtype=bool)
+    new[1:] = s[1:] != s[:-1]
+    return new
+
+
 def _dense(key: np.ndarray) -> np.ndarray:
-    return np.unique(key, return_inverse=True)[1].astype(np.int64)
+    order, s = _sorted(key)
+    dense = np.empty(len(key), dtype=np.int64)
+    dense[order] = np.cumsum(_new(s)) - 1
+    return dense
+
+
+def _smaller(key: np.ndarray, cut: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each key, how many of those before and from ``cut`` on are smaller."""
+    order, s = _sorted(key)
+    new = _new(s)
+    run, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+    ahead = np.cumsum(order < cut)[starts] - (order[starts] < cut)
+    first, both = np.empty(len(key), dtype=np.int64), np.empty(len(key), dtype=np.int64)
+    first[order], both[order] = ahead[run], starts[run]
+    return first, both - first
 
 
 def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
@@ -31,7 +62,7 @@ def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
     number of smaller ones in the three classes.
     """
     n = len(text)
-    if n < 3:
+    if n < 3 or depth <= 3:
         padded = np.concatenate([text.astype(np.int64), np.zeros(3, dtype=np.int64)])
         return _dense(_keys(padded[:n], padded[1:n + 1], padded[2:n + 2]))
     t = np.zeros(n + 5, dtype=np.int64)
@@ -39,7 +70,7 @@ def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
     ones, twos, zeros = np.arange(1, n, 3), np.arange(2, n, 3), np.arange(0, n, 3)
     sample = np.concatenate([ones, twos])
     names = _dense(_keys(t[sample], t[sample + 1], t[sample + 2])) + 1
-    if depth > 3 and int(names.max()) < len(names):
+    if int(names.max()) < len(names):
         # the two classes are strings of their own; a triple that passes an end stops there
         ended = (t[sample] == 0) | (t[sample + 1] == 0) | (t[sample + 2] == 0)
         first, second = names[:len(ones)], names[len(ones):]
@@ -52,12 +83,14 @@ def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
     near = _keys(t[np.concatenate([zeros, ones])], rank[np.concatenate([zeros, ones]) + 1])
     both = np.concatenate([zeros, twos])
     far = _keys(t[both], t[both + 1], rank[both + 2])
-    near0, near1, far0, far2 = near[:len(zeros)], near[len(zeros):], far[:len(zeros)], far[len(zeros):]
-    less = lambda among, values: np.searchsorted(np.sort(among), values)
+    zeros_near, ones_near = _smaller(near, len(zeros))
+    zeros_far, twos_far = _smaller(far, len(zeros))
+    named = np.bincount(names)
+    below = (np.cumsum(named) - named)[names]
     result = np.empty(n, dtype=np.int64)
-    result[zeros] = less(near0, near0) + less(near1, near0) + less(far2, far0)
-    result[ones] = less(near0, near1) + less(names, names[:len(ones)])
-    result[twos] = less(far0, far2) + less(names, names[len(ones):])
+    result[zeros] = (zeros_near + ones_near)[:len(zeros)] + twos_far[:len(zeros)]
+    result[ones] = zeros_near[len(zeros):] + below[:len(ones)]
+    result[twos] = zeros_far[len(zeros):] + below[len(ones):]
     return result
 
 
@@ -76,7 +109,7 @@ def equal_runs(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     """
     if not len(starts):
         return np.empty(0, dtype=np.int64)
-    order = np.argsort(suffix_ranks(text, depth)[starts], kind="stable")
+    order, _ = _sorted(suffix_ranks(text, depth)[starts])
     at = starts[order]
     windows = np.lib.stride_tricks.sliding_window_view(text, depth)
     new = np.ones(len(at), dtype=np.int64)

@@ -25,7 +25,7 @@ GRAM = 50
 # Windows of one stretch, bytes hashed at once, and bytes sorted at once if groups are small.
 STRETCH = 512
 SLICE = 1 << 17
-SORTED = 1 << 19
+SORTED = 1 << 17
 #: hashes that a task holds before it sends a block on, some 80 bytes each while they are dealt out
 BLOCK_STRETCHES = 250_000
 #: stretches that a task remembers to have sent
@@ -205,9 +205,8 @@ def _judged(h, doc, version, start, size, pieces) -> tuple[np.ndarray, ...]:
     # 0 ends a text, so bytes count from 1
     lengths = np.array([len(piece) for piece in distinct])
     bases = np.concatenate([[0], np.cumsum(lengths + 1)])
-    text = np.zeros(bases[-1], dtype=np.uint16)
-    for base, piece in zip(bases, distinct):
-        text[base:base + len(piece)] = np.frombuffer(piece, dtype=np.uint8).astype(np.uint16) + 1
+    text = np.frombuffer(b"".join([piece + b"\0" for piece in distinct]), dtype=np.uint8).astype(np.uint16) + 1
+    text[bases[1:] - 1] = 0
     windows = lengths - WINDOW + 1
     firsts = np.concatenate([[0], np.cumsum(windows)])
     steps = np.arange(firsts[-1])

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from millrace.llm import jaccard_join, suffix_dedup
+from millrace.llm import jaccard_join, suffix_array, suffix_dedup
 from millrace.llm.graph import components
 from millrace.llm.suffix_array import equal_runs, suffix_ranks
 
@@ -244,3 +244,39 @@ def test_the_scanner_sends_blocks_of_bounded_size():
     frame = pd.DataFrame({"doc": range(40), "version": range(40), "text": texts})
     sent = [sum(len(h) // 4 for h in out["hashes"]) for out in suffix_dedup._scanner(4)(iter([frame]))]
     assert len(sent) > 1 and max(sent) <= 260_000 < sum(sent)
+
+
+@pytest.mark.parametrize("top", [3, 1 << 20, 1 << 61])
+def test_counts_of_smaller_keys(top):
+    rng = np.random.default_rng(5)
+    for n, cut in ((0, 0), (1, 0), (1, 1), (300, 120)):
+        keys = rng.integers(0, top, n)
+        first, rest = suffix_array._smaller(keys, cut)
+        assert first.tolist() == [int((keys[:cut] < k).sum()) for k in keys]
+        assert rest.tolist() == [int((keys[cut:] < k).sum()) for k in keys]
+
+
+def test_suffixes_are_merged_by_sorting(monkeypatch):
+    """A search for each suffix took more than half of the operator's time."""
+    monkeypatch.setattr(np, "searchsorted", None)
+    text = np.append(np.random.default_rng(6).integers(1, 3, 5000), 0)
+    starts = np.arange(4000)
+    rank = suffix_ranks(text, 50)[starts]
+    windows = [text[i:i + 50].tolist() for i in np.argsort(rank, kind="stable")]
+    assert windows == sorted(windows)
+
+
+def test_small_groups_are_sorted_in_slices(monkeypatch):
+    sizes, judged = [], suffix_dedup._judged
+    monkeypatch.setattr(suffix_dedup, "_judged", lambda h, doc, version, start, size, pieces: (
+        sizes.append(sum(map(len, pieces))), judged(h, doc, version, start, size, pieces))[1])
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("abcdefgh ", k=20_000)) for _ in range(12)] * 2
+    frame = pd.DataFrame({"doc": range(24), "version": range(24), "text": texts,
+                          "nth": [[np.arange(len(suffix_dedup._stretches(t.encode())[0]), dtype=np.uint32).tobytes()] for t in texts]})
+    sent = pd.concat(suffix_dedup._sender(1)(iter([frame.iloc[:12]]))), pd.concat(suffix_dedup._sender(1)(iter([frame.iloc[12:]])))
+    found = suffix_dedup._sorted_windows(pd.concat(sent))
+    assert len(sizes) > 1 and max(sizes) < 1 << 18
+    # a copy's windows all start earlier in the first of the two
+    assert sorted(found["doc"]) == list(range(12, 24))
+    assert all(suffix_dedup._removed([x]) == [(0, 20_000)] for x in found["spans"])
