@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import jaccard_join, mixing, quality, suffix_dedup
-from millrace.llm.common import staged, table
+from millrace.llm.common import dealt, staged, table
 from millrace.llm.queries import bpe_digests
 
 
@@ -35,9 +35,9 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of tokens and digests of ids and decoded text, a row for each copy in the mix.
 
     Ids are written between, so a task runs one Python worker: what a second one holds stays
-    with the executor through later stages.
+    with the executor through later stages. They are decoded few rows at a time.
     """
-    return bpe_digests(docs.select("doc_id", "text"), lambda ids: staged(ids, "pipeline-ids"))
+    return bpe_digests(docs.select("doc_id", "text"), lambda ids: dealt(staged(ids, "pipeline-ids"), "doc_id"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

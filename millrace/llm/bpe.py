@@ -39,11 +39,13 @@ class Bpe:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_file(path)
-        self.normalize = library.normalizer.normalize_str if library.normalizer else str
-        self.split = library.pre_tokenizer.pre_tokenize_str
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        # without the vocabulary, which the library would hold a second time
+        library = Tokenizer.from_str(json.dumps(
+            {**spec, "model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None}))
+        self.normalize = library.normalizer.normalize_str if library.normalizer else str
+        self.split = library.pre_tokenizer.pre_tokenize_str
         model = spec["model"]
         vocab = model["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
@@ -56,8 +58,9 @@ class Bpe:
         self.rank, self.made = {}, []
         for rank, (a, b) in enumerate(model["merges"]):
             new = vocab[a + b]
-            self.merges[vocab[a], vocab[b]] = (rank, new)
-            self.rank[vocab[a], vocab[b]] = rank
+            pair = vocab[a], vocab[b]
+            self.merges[pair] = (rank, new)
+            self.rank[pair] = rank
             self.made.append(new)
             self.width[new] = self.width[vocab[a]] + self.width[vocab[b]]
         self.cut_special = re.compile(f"({'|'.join(map(re.escape, self.special))})") if self.special else None

@@ -70,3 +70,12 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     finally:
         spark.conf.set(_BATCH_SIZE, rows)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dealt(stored: DataFrame, key: str) -> DataFrame:
+    """In partitions of some BATCH_ROWS rows, for a Python function whose frame is not staged.
+
+    Spark sends 10,000 rows of a partition at once, and both sides hold them. The rows are
+    counted, so the frame should be one just read.
+    """
+    return stored.repartition(max(1, -(-stored.count() // BATCH_ROWS)), F.col(f"`{key}`"))

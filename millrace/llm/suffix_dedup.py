@@ -216,10 +216,12 @@ def _judged(h, doc, version, start, size, pieces) -> tuple[np.ndarray, ...]:
     np.minimum.at(least, of, doc)
     smallest = np.full(int(classes.max()) + 1, np.iinfo(np.int64).max)
     np.minimum.at(smallest, classes, np.repeat(least, windows))
-    row = np.repeat(np.arange(len(doc)), size)
-    step = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-    own = classes[np.repeat(firsts[of], size) + step]
-    at = np.repeat(start, size) + step
+    # a stretch that a smaller document has as a whole is repeated in all its windows: only the others are laid out
+    whole, laid = np.flatnonzero(least[of] < doc), np.flatnonzero(least[of] == doc)
+    row, sizes = np.repeat(laid, size[laid]), size[laid]
+    step = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    own = classes[np.repeat(firsts[of[laid]], sizes) + step]
+    at = np.repeat(start[laid], sizes) + step
     again = smallest[own] < doc[row]
     # in the smallest document itself, all but its first start
     rest = np.flatnonzero(~again)
@@ -231,10 +233,11 @@ def _judged(h, doc, version, start, size, pieces) -> tuple[np.ndarray, ...]:
     again[rest] = at[rest] > earliest
     hit = np.flatnonzero(again)
     if not len(hit):
-        return (np.empty(0, dtype=np.int64),) * 3
+        return whole, start[whole], start[whole] + size[whole] - 1
     edge = np.flatnonzero((np.diff(row[hit]) != 0) | (np.diff(at[hit]) != 1)) + 1
     begin, end = np.concatenate([[0], edge]), np.append(edge - 1, len(hit) - 1)
-    return row[hit[begin]], at[hit[begin]], at[hit[end]]
+    return (np.concatenate([whole, row[hit[begin]]]), np.concatenate([start[whole], at[hit[begin]]]),
+            np.concatenate([start[whole] + size[whole] - 1, at[hit[end]]]))
 
 
 def _sorted_windows(frame: pd.DataFrame) -> pd.DataFrame:

@@ -280,3 +280,15 @@ def test_small_groups_are_sorted_in_slices(monkeypatch):
     # a copy's windows all start earlier in the first of the two
     assert sorted(found["doc"]) == list(range(12, 24))
     assert all(suffix_dedup._removed([x]) == [(0, 20_000)] for x in found["spans"])
+
+
+def test_only_stretches_of_the_smallest_document_are_laid_out(monkeypatch):
+    """A passage in many documents took a number for each of its windows in each of them."""
+    laid, repeat = [], np.repeat
+    monkeypatch.setattr(np, "repeat", lambda *a: (laid.append(repeat(*a)), laid[-1])[1])
+    piece = bytes(random.Random(8).choices(range(97, 123), k=130))
+    n = 5000
+    doc = np.arange(n)[::-1] + 7
+    row, first, last = suffix_dedup._judged(np.zeros(n, dtype=np.uint64), doc, doc, np.full(n, 40), np.full(n, 31), [piece] * n)
+    assert max(map(len, laid)) < n
+    assert sorted(zip(row.tolist(), first.tolist(), last.tolist())) == [(i, 40, 70) for i in range(n - 1)]
